@@ -24,5 +24,5 @@ def distance_np(lat1, lon1, lat2, lon2):
 
 def usable_position(lat: Column, lon: Column) -> Column:
     """Latitude within 90 degrees, longitude known, not both zero. Never null; NaN is unusable."""
-    ok = lat.between(-90.0, 90.0) & ~F.isnan(lon) & ~((lat == 0) & (lon == 0))
+    ok = lat.between(-90.0, 90.0) & lon.isNotNull() & ~F.isnan(lon) & ~((lat == 0) & (lon == 0))
     return F.coalesce(ok, F.lit(False))
