@@ -35,3 +35,62 @@ RAW_NAMES = {
 
 LINEAGE_COLUMNS = ["source_file", "source_file_hash", "source_row_number", "row_id", "batch_id", "ingested_at", "ingestion_date"]
 _LINEAGE = "source_file source_file_hash source_row_number:l row_id batch_id ingested_at:t ingestion_date"
+
+# The tables' columns in order, with their types (see ``_schema``; no type means text).
+TELEMETRY = _schema(
+    "event_date server_timestamp:n device_timestamp:n event_timestamp:n log_type message_type report_type:i protocol_version device_serial device_resolution_method terminal_status battery_voltage:d location_status "
+    "latitude:d longitude:d speed:d direction_degrees:d internal_battery:d odometer_trip:d odometer_total:d horimeter:d hdop:d mcc mnc lac cell_id rx_level:d serial_count:l transmission_technology message_group io_status "
+    "driver_id passenger_id rpm:d tachograph_speed:d tachograph_odometer:d temperature_1:d temperature_2:d temperature_3:d temperature_4:d source_file source_file_hash source_row_number:l row_id batch_id ingested_at:t "
+    "ingestion_date:D has_valid_coordinates:b position_quality"
+)
+IDENTITY = _schema(
+    "event_date server_timestamp:n device_timestamp:n event_timestamp:n message_type report_type:i protocol_version device_serial_raw device_serial device_resolution_method iccid identity_auxiliary imsi imei "
+    "source_file source_file_hash source_row_number:l row_id batch_id ingested_at:t ingestion_date:D has_valid_iccid_format:b has_valid_imsi_format:b has_valid_imei_format:b"
+)
+REJECTED = T.StructType(
+    [
+        *_schema("rejection_date server_timestamp:n device_timestamp:n"),
+        *[T.StructField(c, T.StringType()) for c in RAW_NAMES.values()],
+        *_schema("device_serial device_resolution_method source_file source_file_hash source_row_number:l row_id batch_id ingested_at:t ingestion_date:D event_timestamp:n rejection_reason"),
+    ]
+)
+BRONZE = T.StructType([*[T.StructField(c, T.StringType()) for c in SOURCE_COLUMNS], *_schema(_LINEAGE)])
+DIM_DEVICE = _schema(
+    "device_serial current_imei current_imsi current_iccid current_identity_auxiliary current_protocol_version first_seen_at:n last_seen_at:n first_identity_at:n last_identity_at:n first_telemetry_at:n last_telemetry_at:n "
+    "identity_event_count:l telemetry_event_count:l has_identity_event:b has_telemetry_event:b current_imei_format_valid:b current_imsi_format_valid:b current_iccid_format_valid:b"
+)
+LAST_POSITION = _schema(
+    "device_serial last_position_date last_position_at:n received_at:n latitude:d longitude:d speed:d direction_degrees:d battery_voltage:d internal_battery:d odometer_total:d horimeter:d hdop:d rx_level:d message_type report_type:i "
+    "serial_count:l protocol_version position_quality source_file"
+)
+ROUTE_POINTS = _schema(
+    "event_date device_serial point_sequence:l event_timestamp:n received_at:n latitude:d longitude:d speed:d direction_degrees:d odometer_trip:d odometer_total:d horimeter:d hdop:d rx_level:d message_type report_type:i serial_count:l "
+    "protocol_version position_quality is_moving:b source_file"
+)
+DAILY_SUMMARY = _schema(
+    "event_date device_serial first_event_at:n last_event_at:n message_count:l distinct_message_type_count:l valid_position_count:l invalid_position_count:l low_gps_precision_count:l valid_position_percentage:d moving_event_count:l "
+    "stopped_event_count:l average_speed:d average_speed_while_moving:d maximum_speed:d average_hdop:d minimum_hdop:d maximum_hdop:d minimum_battery_voltage:d maximum_battery_voltage:d average_battery_voltage:d "
+    "minimum_internal_battery:d maximum_internal_battery:d average_internal_battery:d first_odometer_total:d last_odometer_total:d odometer_delta_raw:d has_odometer_regression:b first_valid_position_at:n last_valid_position_at:n "
+    "first_latitude:d first_longitude:d last_latitude:d last_longitude:d"
+)
+QUALITY_SUMMARY = _schema(
+    "metric_date telemetry_event_count:l identity_event_count:l accepted_event_count:l rejected_event_count:l total_event_count:l rejection_percentage:d missing_message_type_count:l invalid_message_type_count:l invalid_timestamp_count:l "
+    "missing_device_serial_count:l unknown_rejection_count:l"
+)
+CONTROL = _schema(
+    "control_event_id batch_id source_file source_file_hash status stage started_at:t finished_at:t row_count:l inserted_row_count:l duplicate_row_count:l status_reason error_message recorded_at:t"
+)
+
+
+def align(df, schema: T.StructType):
+    """The contract's columns in its order and types; a missing one is an error, others go.
+
+    Casts are strict: a value that the type can't hold raises when the rows are written.
+    """
+    from pyspark.sql import functions as F
+
+    have = {c.lower(): c for c in df.columns}
+    missing = [f.name for f in schema if f.name.lower() not in have]
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+    return df.select(*[F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name) for f in schema])

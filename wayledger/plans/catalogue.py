@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wayledger.plans import data_queries
+from wayledger.plans import data_queries, layer_queries
 
-QUERIES = {**data_queries.QUERIES}
-SQL = {**data_queries.SQL}
+QUERIES = {**layer_queries.QUERIES, **data_queries.QUERIES}
+SQL = {**layer_queries.SQL, **data_queries.SQL}
