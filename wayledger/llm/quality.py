@@ -311,19 +311,29 @@ def fit_model(texts: list[str], common: set[str], rules: QualityRules) -> LineMo
     return model
 
 
-def common_words(documents: DataFrame, share: float) -> DataFrame:
+def common_words(documents: DataFrame, share: float, n: int | None = None) -> DataFrame:
     """(word): those in at least ``share`` of the documents with text, counted over all of them.
 
     Distinct words of a document are counted once, pre-aggregated before the shuffle. There are
     at most (mean distinct words of a document) / share of them.
     """
     texts = documents.where(F.trim("text") != "").select(F.lower("text").alias("t"))
-    n = texts.count()
+    n = texts.count() if n is None else n
     words = texts.select(F.explode(F.array_distinct(F.split("t", r"[^\p{L}\p{M}]+"))).alias("word")).where(F.length("word") > 1)
     return words.groupBy("word").count().where(F.col("count") >= max(2, math.ceil(share * n))).select("word")
 
 
-_SHARES = [f"{s}_share" for s in STATES]
+def sample_texts(documents: DataFrame, most: int, n: int) -> list[str]:
+    """About ``most`` texts, chosen by a hash of id and text: only they travel to the driver.
+
+    Many copies of one row can't swell the sample: it is cut at twice its size.
+    """
+    bits = 1 << 30
+    share = min(bits, math.ceil(bits * most / max(1, n)))
+    chosen = documents.where(F.trim("text") != "").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(bits)) < share)
+    return sorted(r.text for r in chosen.select("text").limit(2 * most).collect())
+
+
 _OUT = "doc_id long, n_lines long, n_words long, mean_word_length double, symbol_ratio double, end_punctuation_share double, common_word_share double, prose_share double, list_share double, table_share double, junk_share double"
 
 
@@ -369,9 +379,9 @@ def document_quality(documents: DataFrame, rules: QualityRules | None = None) ->
     """
     rules = rules or QualityRules()
     spark = documents.sparkSession
-    common = {r.word for r in common_words(documents, rules.common_share).toLocalIterator()}
-    sample = [r.text for r in documents.where(F.trim("text") != "").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(rules.sample_docs).select("text").collect()]
-    model = fit_model(sample, common, rules)
+    n = documents.where(F.trim("text") != "").count()
+    common = {r.word for r in common_words(documents, rules.common_share, n).toLocalIterator()}
+    model = fit_model(sample_texts(documents, rules.sample_docs, n), common, rules)
     shared = spark.sparkContext.broadcast((model, common))
     return documents.select("doc_id", "text").mapInArrow(_measure(shared), _OUT)
 
