@@ -58,7 +58,7 @@ def _asof(event_schema: pa.Schema):
     return run
 
 
-def as_known(events: DataFrame, versions: DataFrame, salts: int = 16, rows_per_bucket: int = 250_000) -> DataFrame:
+def as_known(events: DataFrame, versions: DataFrame, salts: int = 16, rows_per_bucket: int = 100_000) -> DataFrame:
     """(id, value) of every event whose entity had a known value at the event's time.
 
     ``events`` has id (text), entity, at. Buckets are cut by entity and by ``salts`` shares of
@@ -67,7 +67,7 @@ def as_known(events: DataFrame, versions: DataFrame, salts: int = 16, rows_per_b
     without entity or time get nothing; repeated events each get their row.
     """
     n = events.count()
-    buckets = max(8, -(-n // rows_per_bucket) * 2)
+    buckets = max(32, -(-n // rows_per_bucket))
     bucket = lambda salt: F.pmod(F.xxhash64("entity", salt), F.lit(buckets)).cast("int")
     e = events.where("entity is not null and at is not null").withColumn("bucket", bucket(F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")))
     v = versions.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("bucket", bucket(F.col("salt"))).select("bucket", "entity", "avail", "value").distinct()
