@@ -54,12 +54,13 @@ def _storage_period(p: LatePolicy) -> Column:
 def one_per_copy(raw: DataFrame) -> DataFrame:
     """The first by ``ingested_at`` of each group of copies; ties by row id.
 
-    Rows without ``device_timestamp`` are never copies of each other.
+    Rows without ``device_timestamp`` are copies only of themselves, by row id.
     """
     key = ["device_serial", "device_timestamp", "message_type", "serial_count"]
-    first = raw.where("device_timestamp is not null").groupBy(*key).agg(F.min(F.struct(F.col("ingested_at").isNull().alias("unseen"), "ingested_at", "tie", "server_timestamp")).alias("f"))
-    cols = [*key, "f.server_timestamp", "f.ingested_at"]
-    return first.select(*cols).unionByName(raw.where("device_timestamp is null").select(*key, "server_timestamp", "ingested_at"))
+    alone = F.when(F.col("device_timestamp").isNull(), F.col("tie")).alias("alone")
+    known = raw.where("device_timestamp is not null or tie is not null")
+    first = known.groupBy(*key, alone).agg(F.min(F.struct(F.col("ingested_at").isNull().alias("unseen"), "ingested_at", "tie", "server_timestamp")).alias("f"))
+    return first.select(*key, "f.server_timestamp", "f.ingested_at").unionByName(raw.where("device_timestamp is null and tie is null").select(*key, "server_timestamp", "ingested_at"))
 
 
 def hourly(raw: DataFrame, p: LatePolicy) -> DataFrame:
@@ -89,11 +90,11 @@ class LateAggregates:
 
         Nulls: a row without any time is kept as raw but belongs to no hour; one without
         ``ingested_at`` counts as excluded; a null device is a device of its own. An empty
-        batch changes nothing. Extra columns are not retained. A batch applied twice changes
-        no count of rows that have a device time: they are copies of themselves.
+        batch changes nothing. Extra columns are not retained. A batch applied twice, as
+        after a failure, changes no count of rows that have a device time or a row id.
         """
         p = self.policy
-        rows = batch.select(*[F.col(c) for c in _RAW[:-1]], F.xxhash64("row_id").alias("tie"), _storage_period(p).alias("period"))
+        rows = batch.select(*[F.col(c) for c in _RAW[:-1]], F.when(F.col("row_id").isNotNull(), F.xxhash64("row_id")).alias("tie"), _storage_period(p).alias("period"))
         touched = self.raw.append(rows)
         if not touched:
             return []

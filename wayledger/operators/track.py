@@ -20,7 +20,8 @@ def device_track(telemetry: DataFrame) -> DataFrame:
 
     Copies: rows equal in device_serial, device_timestamp (not null), message_type and
     serial_count (null equals null); the first by ``ingested_at`` stands for all, ties by
-    ``row_id``. The copy is chosen first and its position judged after. ``ts`` is
+    ``row_id``; a row without device time is a copy only of itself, by ``row_id``. The copy is
+    chosen first and its position judged after. ``ts`` is
     ``event_timestamp`` in microseconds. Rows without device, event time or usable position are
     no part of a track. Records of one device at the same instant follow serial_count, then
     message_type, then row_id.
@@ -32,12 +33,13 @@ def device_track(telemetry: DataFrame) -> DataFrame:
         "message_type",
         "serial_count",
         F.col("ingested_at").alias("seen"),
-        F.xxhash64("row_id").alias("tie"),
+        F.when(F.col("row_id").isNotNull(), F.xxhash64("row_id")).alias("tie"),
         F.col("latitude").cast("double").alias("lat"),
         F.col("longitude").cast("double").alias("lon"),
     )
-    w = Window.partitionBy("device_serial", "event_timestamp", "device_timestamp", "serial_count", "message_type").orderBy(F.col("seen").asc_nulls_last(), "tie")
-    first = t.repartitionByRange("device_serial", "event_timestamp").withColumn("rn", F.row_number().over(w)).where((F.col("rn") == 1) | F.col("device_timestamp").isNull())
+    alone = F.when(F.col("device_timestamp").isNull(), F.col("tie"))
+    w = Window.partitionBy("device_serial", "event_timestamp", "device_timestamp", "serial_count", "message_type", alone).orderBy(F.col("seen").asc_nulls_last(), "tie")
+    first = t.repartitionByRange("device_serial", "event_timestamp").withColumn("rn", F.row_number().over(w)).where("rn = 1 or (device_timestamp is null and tie is null)")
     micros = F.unix_micros(F.col("event_timestamp").cast("timestamp"))
     return first.where(usable_position(F.col("lat"), F.col("lon"))).select("device_serial", micros.alias("ts"), "lat", "lon")
 

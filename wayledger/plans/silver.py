@@ -87,25 +87,34 @@ def file_imei_map(normalized: DataFrame) -> DataFrame:
     return unambiguous(t1.select(file.alias("file"), valid_imei(F.col("longitude_raw")).alias("imei")), "file", "imei")
 
 
-def resolve_identity(normalized: DataFrame, history: DataFrame | None = None, compat: bool = True) -> DataFrame:
-    """Adds device_serial and device_resolution_method; raw values never change.
+def legacy_serials(evidence: DataFrame, history: DataFrame | None = None, compat: bool = True) -> DataFrame:
+    """(file, serial): what a legacy row of a file resolves to.
 
-    DIRECT: the row's own serial. LEGACY_IMEI: a legacy-protocol row of a valid type and time
-    whose file tells one IMEI that tells one serial. Else UNRESOLVED. ``history`` adds stored
-    identity events as evidence; with ``compat`` ambiguity is dropped per source before the
-    sources are merged, without it all evidence is weighed at once.
+    ``history`` adds stored identity events. With ``compat`` ambiguity is dropped per source
+    before the sources are merged; without it all evidence is weighed at once.
     """
     if history is None:
-        serials = imei_serial_map(normalized)
+        serials = imei_serial_map(evidence)
     elif compat:
-        serials = merged_serial_map(imei_serial_map(normalized), history_serial_map(history))
+        serials = merged_serial_map(imei_serial_map(evidence), history_serial_map(history))
     else:
         old = history.select(valid_imei(F.col("imei")).alias("imei"), device_serial(F.col("device_serial_raw")).alias("serial"))
-        serials = unambiguous(imei_evidence(normalized).unionByName(old), "imei", "serial")
-    by_file = file_imei_map(normalized).join(serials, "imei").select(F.col("file").alias("__file"), F.col("serial").alias("__serial"))
+        serials = unambiguous(imei_evidence(evidence).unionByName(old), "imei", "serial")
+    return file_imei_map(evidence).join(serials, "imei").select("file", "serial")
+
+
+def resolve_identity(normalized: DataFrame, history: DataFrame | None = None, compat: bool = True, by_file: DataFrame | None = None) -> DataFrame:
+    """Adds device_serial and device_resolution_method; raw values never change.
+
+    DIRECT: the row's own serial. LEGACY_IMEI: a legacy-protocol row of a valid type and time
+    whose file tells one IMEI that tells one serial. Else UNRESOLVED. ``by_file`` gives the
+    files' serials; by default they come from the rows themselves and ``history``.
+    """
+    by_file = legacy_serials(normalized, history, compat) if by_file is None else by_file
+    by_file = by_file.select(F.col("file").alias("__file"), F.col("serial").alias("__serial"))
     own = device_serial(F.col("device_serial_raw"))
     legacy = (F.col("protocol_version") == LEGACY_PROTOCOL) & full_match(F.col("message_type"), TYPE_PATTERN) & event_time().isNotNull()
-    # rows that need no help get a null key, which matches nothing and is spread by its own salt
+    # rows that need no help get a null key, which matches nothing
     need = F.when(own.isNull() & F.coalesce(legacy, F.lit(False)), F.nullif(strip_all(F.col("source_file")), F.lit("")))
     rows = normalized.withColumn("__own", own).withColumn("__need", need)
     joined = rows.join(by_file, F.col("__need") == F.col("__file"), "left")
@@ -113,6 +122,25 @@ def resolve_identity(normalized: DataFrame, history: DataFrame | None = None, co
     return joined.select(*normalized.columns, F.coalesce("__own", "__serial").alias("device_serial"), method.alias("device_resolution_method"))
 
 
+_EVIDENCE = ["message_type", "longitude_raw", "device_serial_raw", "source_file", "server_timestamp", "device_timestamp"]
+
+
+def stored_evidence(identity: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Identity reports as the typed layer holds them, in the form ``legacy_serials`` reads."""
+    accepted = identity.withColumn("longitude_raw", F.col("imei")).select(*_EVIDENCE)
+    return accepted.unionByName(rejected.where(F.col("message_type") == "T1").select(*_EVIDENCE))
+
+
+def changed_days(by_file: DataFrame, telemetry: DataFrame, identity: DataFrame, rejected: DataFrame) -> DataFrame:
+    """(event_day): days of stored legacy rows that would now resolve to something else."""
+    pick = lambda df: df.select("source_file", "device_serial", F.date_format("event_timestamp", "yyyy-MM-dd").alias("event_day"))
+    inferred = lambda df: pick(df.where(F.col("device_resolution_method") == "LEGACY_IMEI"))
+    open_rows = rejected.where((F.col("rejection_reason") == "MISSING_DEVICE_SERIAL") & (F.col("protocol_version") == LEGACY_PROTOCOL))
+    stored = inferred(telemetry).unionByName(inferred(identity)).unionByName(pick(open_rows)).distinct()
+    j = stored.withColumn("__need", F.nullif(strip_all(F.col("source_file")), F.lit(""))).join(by_file.select(F.col("file").alias("__file"), "serial"), F.col("__need") == F.col("__file"), "left")
+    return j.where(~F.col("serial").eqNullSafe(F.col("device_serial"))).select("event_day").distinct()
+
+
 def classify(resolved: DataFrame) -> DataFrame:
     """Adds event_timestamp and rejection_reason (null: accepted), first reason first."""
     reason = (
