@@ -89,6 +89,7 @@ class PairTable:
 def _merge_matrix(ids: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
     """Merge all rows of a padded matrix to the end; gives the matrix and the rows' lengths."""
     n, width = ids.shape
+    ids = ids.copy()
     out = np.full((n, width), -1, np.int32)
     size = np.zeros(n, np.int64)
     row = np.arange(n)

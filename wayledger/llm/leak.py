@@ -241,14 +241,15 @@ def longest_stretch(item: Sequence[str], page: Sequence[str], points: list[tuple
     """The most consecutive words of the item that are printed in order on the page.
 
     ``points`` are (item word, page word) pairs read alike. They are chained so that both move
-    on together; the page may be ahead by an insertion only where the item goes on with the very
-    next words. Words between chained points are compared as one string. Both ends are extended
-    over misread words.
+    on together; words between chained points are compared as one string. Once in a chain the
+    page may be ahead by an insertion, if the item goes on with the very next words and two of
+    its words stand on either side. Both ends are extended over misread words.
     """
     points = sorted(set(points))
     n = len(points)
-    best = [1] * n
-    back = [-1] * n
+    # chains without and with the insertion: length, previous point, words since the insertion
+    best, back = [[1] * n, [0] * n], [[None] * n, [None] * n]
+    since = [0] * n
     for q in range(n):
         iq, jq = points[q]
         for p in range(q - 1, -1, -1):
@@ -256,27 +257,35 @@ def longest_stretch(item: Sequence[str], page: Sequence[str], points: list[tuple
             di, dj = iq - ip, jq - jp
             if di > 5:
                 break
-            if di < 1 or dj < 1 or best[p] + di <= best[q] - (back[q] < 0):
+            if di < 1 or dj < 1:
                 continue
             if abs(dj - di) <= 3:
+                gain0, gain1 = best[0][p] + di > best[0][q], best[1][p] and best[1][p] + di > best[1][q]
+                if not gain0 and not gain1:
+                    continue
                 if di > 1 or dj > 1:
                     a, b = "".join(item[ip + 1 : iq]), "".join(page[jp + 1 : jq])
                     most = max(2, int(0.45 * max(len(a), len(b))))
                     if edit_distance(a, b, most) > most:
                         continue
-            elif not (di <= 2 and dj <= max_insert):
-                continue
-            if best[p] + di > best[q]:
-                best[q], back[q] = best[p] + di, p
+                if gain0:
+                    best[0][q], back[0][q] = best[0][p] + di, (0, p)
+                if gain1:
+                    best[1][q], back[1][q], since[q] = best[1][p] + di, (1, p), since[p] + di
+            elif di <= 2 and dj <= max_insert and best[0][p] >= 2 and best[0][p] + di > best[1][q]:
+                best[1][q], back[1][q], since[q] = best[0][p] + di, (0, p), 1
+    ends = sorted(((best[k][q], k, q) for k in (0, 1) for q in range(n) if best[k][q]), reverse=True)[:6]
     top = 0
-    for q in sorted(range(n), key=lambda k: -best[k])[:4]:
-        first = q
-        while back[first] >= 0:
-            first = back[first]
-        (i0, j0), (i1, j1) = points[first], points[q]
+    for length, k, q in ends:
+        first = (k, q)
+        while back[first[0]][first[1]] is not None:
+            first = back[first[0]][first[1]]
+        (i0, j0), (i1, j1) = points[first[1]], points[q]
         after = _extend(item[i1 + 1 :], page[j1 + 1 : j1 + 1 + 2 * len(item)])
+        if k and since[q] + after < 2:
+            continue
         before = _extend([w[::-1] for w in item[:i0][::-1]], [w[::-1] for w in page[max(0, j0 - 2 * len(item)) : j0][::-1]])
-        top = max(top, i1 - i0 + 1 + after + before)
+        top = max(top, length + after + before)
     return top
 
 
