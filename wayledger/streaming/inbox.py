@@ -37,7 +37,7 @@ def stream_inbox(spark: SparkSession, settings: Settings, checkpoint: str | None
     The stream only tells that files came; which of them are new, valid or repeated the pipeline
     decides by content, so a file told twice is loaded once.
     """
-    names = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(f"file://{settings.inbox}").select("path")
+    names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.[cC][sS][vV]").load(f"file://{settings.inbox}").select("path")
     return (
         names.writeStream.foreachBatch(lambda batch, _: None if batch.isEmpty() else run_pipeline(spark, settings) and None)
         .option("checkpointLocation", checkpoint or scratch_path(spark, "inbox"))
