@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wayledger.plans import data_queries, layer_queries
+from wayledger.plans import data_queries, layer_queries, scope_queries
 
-QUERIES = {**layer_queries.QUERIES, **data_queries.QUERIES}
-SQL = {**layer_queries.SQL, **data_queries.SQL}
+QUERIES = {**layer_queries.QUERIES, **scope_queries.QUERIES, **data_queries.QUERIES}
+SQL = {**layer_queries.SQL, **scope_queries.SQL, **data_queries.SQL}
