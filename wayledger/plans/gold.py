@@ -25,10 +25,18 @@ def _latest_first() -> list[Column]:
     return [F.col("server_timestamp").desc_nulls_last(), F.col("source_file").desc_nulls_last(), F.col("row_id").asc_nulls_last()]
 
 
-def dedup_telemetry(telemetry: DataFrame) -> DataFrame:
-    """One row per logical record: the latest received, then the greatest file name and least row id."""
-    w = Window.partitionBy("device_serial", "event_timestamp", "message_type", _key("serial_count"), _key("latitude"), _key("longitude"), _key("speed")).orderBy(*_latest_first())
+def dedup_telemetry(telemetry: DataFrame, by_day: bool = False) -> DataFrame:
+    """One row per logical record: the latest received, then the greatest file name and least row id.
+
+    ``by_day`` sets event_date from the event time and lays rows out by device and day first.
+    Copies share both, so the products per device and day need no second shuffle.
+    """
     rows = telemetry.where("device_serial is not null and event_timestamp is not null")
+    place = ["device_serial"]
+    if by_day:
+        rows = rows.withColumn("event_date", F.date_format("event_timestamp", "yyyy-MM-dd")).repartition("device_serial", "event_date")
+        place = ["device_serial", "event_date"]
+    w = Window.partitionBy(*place, "event_timestamp", "message_type", _key("serial_count"), _key("latitude"), _key("longitude"), _key("speed")).orderBy(*_latest_first())
     return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
@@ -74,9 +82,9 @@ def dim_device(telemetry: DataFrame, identity: DataFrame, devices: DataFrame | N
     return align(out, DIM_DEVICE)
 
 
-def _positions(telemetry: DataFrame) -> DataFrame:
+def _positions(telemetry: DataFrame, by_day: bool = False) -> DataFrame:
     """Deduplicated rows with coordinates that can be shown; 0/0 can't."""
-    return dedup_telemetry(telemetry).where("has_valid_coordinates and not (latitude = 0 and longitude = 0)")
+    return dedup_telemetry(telemetry, by_day).where("has_valid_coordinates and not (latitude = 0 and longitude = 0)")
 
 
 def last_position(telemetry: DataFrame, devices: DataFrame | None = None) -> DataFrame:
@@ -87,14 +95,14 @@ def last_position(telemetry: DataFrame, devices: DataFrame | None = None) -> Dat
 
 def route_points(telemetry: DataFrame, dates: Sequence[str] | None = None) -> DataFrame:
     """Positions of each device and day in order."""
-    p = _positions(_only_dates(telemetry, dates)).withColumns({"event_date": F.date_format("event_timestamp", "yyyy-MM-dd"), "received_at": F.col("server_timestamp")})
+    p = _positions(_only_dates(telemetry, dates), by_day=True).withColumn("received_at", F.col("server_timestamp"))
     w = Window.partitionBy("device_serial", "event_date").orderBy("event_timestamp", F.col("received_at").asc_nulls_last(), F.col("serial_count").asc_nulls_last(), "row_id")
     return align(p.withColumns({"point_sequence": F.row_number().over(w).cast("long"), "is_moving": F.coalesce("speed", F.lit(0.0)) >= MOVING_FROM}), ROUTE_POINTS)
 
 
 def daily_summary(telemetry: DataFrame, dates: Sequence[str] | None = None) -> DataFrame:
     """One row per device and day."""
-    base = dedup_telemetry(_only_dates(telemetry, dates)).withColumn("event_date", F.date_format("event_timestamp", "yyyy-MM-dd"))
+    base = dedup_telemetry(_only_dates(telemetry, dates), by_day=True)
     ok = F.coalesce("has_valid_coordinates", F.lit(False))
     moving = F.col("speed") >= MOVING_FROM
     times = F.col("event_timestamp")

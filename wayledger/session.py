@@ -65,5 +65,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Parquet table ``name`` of the data folder."""
+    """The Parquet table ``name`` of the data folder.
+
+    Its naive times are UTC and meet zoned ones in UTC, so the session is put to UTC.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
