@@ -211,3 +211,16 @@ def test_streams(spark, settings, tmp_path):
     telemetry(spark, [{"device_timestamp": t("2024-01-01 10:20"), "row_id": "x", "ingested_at": t("2024-01-01 18:00+00:00")}]).write.mode("append").parquet(src)
     stream()
     assert rows(LateAggregates(spark, f"file://{tmp_path}/agg").current(), "published_count", "corrected_count") == [(1, 2)]
+
+
+def test_command_line_over_the_sample(spark, tmp_path, monkeypatch, capsys):
+    from wayledger import cli
+    from wayledger.sources.sample import write_sample
+
+    monkeypatch.setenv("WAYLEDGER_DATA_DIR", str(tmp_path))
+    write_sample(tmp_path / "raw" / "inbox" / "sample.csv")
+    monkeypatch.setattr(cli, "get_session", lambda: spark)
+    assert cli.main(["run"]) == 0
+    out = capsys.readouterr().out
+    assert "inserted_rows=3" in out and "telemetry_rows=1" in out and "rejected_rows=1" in out and "dim_device_rows=1" in out
+    assert cli.main(["run", "--full"]) == 0 and "mode=FULL" in capsys.readouterr().out

@@ -50,7 +50,7 @@ def _asof(event_schema: pa.Schema):
         try:
             con.register("e", events)
             con.register("v", versions)
-            out = con.execute("select e.id, v.value from e asof left join v on e.entity = v.entity and e.at >= v.avail where v.value is not null").to_arrow_table()
+            out = con.sql("select e.id, v.value from e asof left join v on e.entity = v.entity and e.at >= v.avail where v.value is not null").to_arrow_table()
         finally:
             con.close()
         return out.cast(event_schema)

@@ -72,6 +72,7 @@ class SilverResult:
     event_dates: tuple[str, ...] = ()
     rejection_dates: tuple[str, ...] = ()
     before: dict[str, Snapshot] | None = None
+    rows: dict[str, int] | None = None
 
 
 @dataclass
@@ -123,7 +124,7 @@ class Silver:
             self.identity.overwrite(built.identity)
             self.rejected.overwrite(built.rejected)
             self._note(bronze.table.read().select("batch_id").distinct(), True)
-            return SilverResult(FULL, before=before)
+            return SilverResult(FULL, before=before, rows={k: store.read().count() for k, (store, _) in self._tables().items()})
         ids = clean_ids(batch_ids)
         if not ids:
             return SilverResult(NOOP)
@@ -140,7 +141,8 @@ class Silver:
         self.identity.replace_partitions(built.identity, dated)
         self.rejected.replace_partitions(built.rejected, days)
         self._note(self.spark.createDataFrame([(i,) for i in ids], "batch_id string"), False)
-        return SilverResult(INCREMENTAL, tuple(dated), tuple(days), before)
+        written = {k: store.read(only=days).count() for k, (store, _) in self._tables().items()}
+        return SilverResult(INCREMENTAL, tuple(dated), tuple(days), before, written)
 
     def _scope(self, bronze: Bronze, index: DataFrame, days: list[str]) -> DataFrame:
         """All bronze rows of the days, from the ingestion partitions that hold some."""
@@ -200,8 +202,10 @@ class Gold:
 
     def _full(self, s: Silver) -> GoldResult:
         t, i, r = s.telemetry.read(), s.identity.read(), s.rejected.read()
-        self.dim_device.overwrite(gold.dim_device(t, i))
-        self.last_position.overwrite(gold.last_position(t))
+        for store, fresh in ((self.dim_device, gold.dim_device(t, i)), (self.last_position, gold.last_position(t))):
+            fresh = materialize(fresh, "entities")
+            check_key(fresh, "device_serial")
+            store.overwrite(fresh)
         self.route_points.overwrite(gold.route_points(t))
         self.daily_summary.overwrite(gold.daily_summary(t))
         self.quality_summary.overwrite(gold.quality_summary(t, i, r))
@@ -222,6 +226,7 @@ class Gold:
             n = devices.count()
             t, i = s.telemetry.read(), s.identity.read()
             for store, contract, fresh in ((self.dim_device, DIM_DEVICE, gold.dim_device(t, i, devices)), (self.last_position, LAST_POSITION, gold.last_position(t, devices))):
+                fresh = materialize(fresh, "entities")
                 check_key(fresh, "device_serial")
                 kept = store.read().join(devices, "device_serial", "left_anti")
                 rows[store.path.rsplit("/", 1)[1]] = fresh.count()

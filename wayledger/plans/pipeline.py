@@ -45,7 +45,7 @@ def format_result(r: PipelineResult) -> str:
     b, s, g = r.bronze, r.silver, r.gold
     parts = {
         "BRONZE": {"discovered_files": b.discovered, "successful_files": len(b.successful), "skipped_files": len(b.skipped), "failed_files": len(b.failed), "inserted_rows": b.inserted_rows, "duplicate_rows": b.duplicate_rows, "propagated_batches": len(b.batch_ids)},
-        "SILVER": {"mode": s.mode, "affected_event_dates": len(s.event_dates), "affected_rejection_dates": len(s.rejection_dates)},
+        "SILVER": {"mode": s.mode} | {f"{k}_rows": v for k, v in (s.rows or {}).items()} | {"affected_event_dates": len(s.event_dates), "affected_rejection_dates": len(s.rejection_dates)},
         "GOLD": {"mode": g.mode, "affected_devices": g.devices} | {f"{k}_rows": v for k, v in (g.rows or {}).items()},
         "PIPELINE": {"has_new_data": r.has_new_data, "has_changes": r.has_changes},
     }
