@@ -95,10 +95,11 @@ class LateAggregates:
         """
         p = self.policy
         rows = batch.select(*[F.col(c) for c in _RAW[:-1]], F.when(F.col("row_id").isNotNull(), F.xxhash64("row_id")).alias("tie"), _storage_period(p).alias("period"))
-        touched = self.raw.append(rows)
+        # one or a few files per period instead of one per task; AQE splits a period that is large
+        touched = self.raw.append(rows.hint("rebalance", "period"))
         if not touched:
             return []
-        out = hourly(self.raw.read(only=touched), p)
+        out = hourly(self.raw.read(only=touched), p).hint("rebalance", "period")
         if self.published.exists():
             self.published.replace_partitions(out, touched)
         else:
