@@ -214,7 +214,11 @@ def _stitch_device(rows: list[_Dwell], step: float, radius: float) -> list[_Dwel
         if cur is None:
             cur = d
         elif crossed and cur.holds(d.clat, d.clon, step, radius):
-            cur.join(d, _far(cur.llat, cur.llon, d.flat, d.flon))
+            if away is None or cur.n > 1:
+                path = _far(cur.llat, cur.llon, d.flat, d.flon)
+            else:
+                path = _far(cur.llat, cur.llon, away.flat, away.flon) + _far(away.flat, away.flon, d.flat, d.flon)
+            cur.join(d, path)
             away = None
         elif away is None and d.n == 1:
             away = d
