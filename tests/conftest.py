@@ -17,11 +17,12 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from wayledger.session import get_session
+    from wayledger.session import clear_scratch, get_session
 
     s = get_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    clear_scratch(s)
     s.stop()
 
 

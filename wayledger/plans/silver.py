@@ -114,12 +114,13 @@ def resolve_identity(normalized: DataFrame, history: DataFrame | None = None, co
     by_file = by_file.select(F.col("file").alias("__file"), F.col("serial").alias("__serial"))
     own = device_serial(F.col("device_serial_raw"))
     legacy = (F.col("protocol_version") == LEGACY_PROTOCOL) & full_match(F.col("message_type"), TYPE_PATTERN) & event_time().isNotNull()
-    # rows that need no help get a null key, which matches nothing
+    # most rows carry their own serial: only those that need help are shuffled to the files' serials
     need = F.when(own.isNull() & F.coalesce(legacy, F.lit(False)), F.nullif(strip_all(F.col("source_file")), F.lit("")))
-    rows = normalized.withColumn("__own", own).withColumn("__need", need)
-    joined = rows.join(by_file, F.col("__need") == F.col("__file"), "left")
-    method = F.when(F.col("__own").isNotNull(), "DIRECT").when(F.col("__serial").isNotNull(), "LEGACY_IMEI").otherwise("UNRESOLVED")
-    return joined.select(*normalized.columns, F.coalesce("__own", "__serial").alias("device_serial"), method.alias("device_resolution_method"))
+    cols = normalized.columns
+    alone = normalized.where(need.isNull()).select(*cols, own.alias("device_serial"), F.when(own.isNotNull(), "DIRECT").otherwise("UNRESOLVED").alias("device_resolution_method"))
+    helped = normalized.where(need.isNotNull()).withColumn("__need", need).join(by_file, F.col("__need") == F.col("__file"), "left")
+    method = F.when(F.col("__serial").isNotNull(), "LEGACY_IMEI").otherwise("UNRESOLVED")
+    return alone.unionByName(helped.select(*cols, F.col("__serial").alias("device_serial"), method.alias("device_resolution_method")))
 
 
 _EVIDENCE = ["message_type", "longitude_raw", "device_serial_raw", "source_file", "server_timestamp", "device_timestamp"]

@@ -11,10 +11,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: str | None = None
+_scratch: list[str] = []
+_shipped: set[str] = set()
 
 
 def get_session(app: str = "wayledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,7 +36,25 @@ def get_session(app: str = "wayledger", master: str | None = None, **conf: str)
     }
     for k, v in (base | conf).items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, wherever they run; once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="wayledger-code-")
+    atexit.register(shutil.rmtree, folder, True)
+    path = f"{folder}/{root.name}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(path)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,7 +71,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nobody used before."""
-    return f"{shared_dir(spark)}/wayledger/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/wayledger/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this process, once the results read from them are no
+    longer needed. Gives how many there were."""
+    n = len(_scratch)
+    while _scratch:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return n
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -69,6 +103,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     Its naive times are UTC and meet zoned ones in UTC, so the session is put to UTC.
     """
+    ship(spark)
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
