@@ -57,6 +57,17 @@ def test_columns(spark):
     assert found(spark, mixed, boxes=boxes[:-1]) == [] and found(spark, mixed) == []
 
 
+def test_a_box_without_place_spoils_only_its_page(spark):
+    left, right = lines_of(text(60, 10) + ITEM[:10]), lines_of(ITEM[10:20] + text(61, 10))
+    mixed = [x for pair in zip(left, right, strict=True) for x in pair]
+    box = [(50 + 450 * (k % 2), 100 + 40 * (k // 2), 400 + 450 * (k % 2), 0, None) for k in range(len(mixed))]
+    broken = [(None, *box[0][1:]), *box[1:]]
+    rows_in = [(1, "\n".join(mixed), box), (2, "\n".join(mixed), broken), (3, "\n".join(mixed), None), (4, "\n".join(mixed), [None, *box[1:]]), (5, "\n".join(mixed), box)]
+    docs = spark.createDataFrame(rows_in, f"doc_id long, text string, {PAGE}").coalesce(1)
+    items = spark.createDataFrame([(999, " ".join(ITEM))], "item_id long, item_text string")
+    assert sorted(r.doc_id for r in leak.leaked_items(docs, items).collect()) == [1, 5]
+
+
 def test_empty_cases(spark):
     assert found(spark, None) == [] and found(spark, [""]) == []
     docs = spark.createDataFrame([(1, " ".join(ITEM))], "doc_id long, text string")

@@ -331,12 +331,14 @@ def _pages(b: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
     sizes = np.diff(offset)
     valid = np.ones(len(sizes), bool) if boxes.null_count == 0 else np.asarray(boxes.is_valid())
     flat = boxes.values
-    x0, y0, x1 = (flat.field(k) for k in ("x0", "y0", "x1"))
-    known = [c.null_count == 0 for c in (x0, y0, x1)]
-    fits = valid & (sizes == count) if all(known) and flat.null_count == 0 else np.zeros(len(sizes), bool)
+    fits = valid & (sizes == count)
     if fits.any():
         page = np.repeat(np.arange(len(sizes)), sizes)
-        x0, y0, x1 = (c.to_numpy(zero_copy_only=False)[offset[0] : offset[-1]] for c in (x0, y0, x1))
+        edges = [flat.field(k).slice(offset[0], offset[-1] - offset[0]) for k in ("x0", "y0", "x1")]
+        for c in (flat.slice(offset[0], offset[-1] - offset[0]), *edges):
+            if c.null_count:
+                fits[page[np.asarray(c.is_null())]] = False
+        x0, y0, x1 = (c.fill_null(0).to_numpy(zero_copy_only=False) for c in edges)
         order = reading_order(page, x0, y0, x1) - np.repeat(offset[:-1] - offset[0], sizes)
     for i, doc in enumerate(ids):
         if fits[i]:
