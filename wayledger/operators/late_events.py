@@ -104,6 +104,7 @@ class LateAggregates:
             self.published.replace_partitions(out, touched)
         else:
             self.published.overwrite(out)
+        self.raw.compact()
         return touched
 
     def current(self) -> DataFrame:

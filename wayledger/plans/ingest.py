@@ -100,6 +100,7 @@ class Bronze:
     def log(self, events: Iterable[tuple]) -> None:
         if rows := list(events):
             self.control.append(self.spark.createDataFrame(rows, CONTROL).coalesce(1))
+            self.control.compact(64)
 
     def _known(self, hashes: list[str]) -> set[str]:
         if not self.control.exists():
