@@ -154,10 +154,10 @@ TEL = f"tb as (select * from telemetry_events where device_serial is not null an
 IDB = f"ib as (select * from device_identity_events where device_serial is not null and event_timestamp is not null qualify row_number() over (partition by device_serial, event_timestamp, {_K('imei')}, {_K('imsi')}, {_K('iccid')} {_LATE}) = 1)"
 _SHOWN = "has_valid_coordinates and not (latitude = 0 and longitude = 0)"
 _LAST = lambda c: f"arg_max({c}, (event_timestamp, row_id)) filter (where {c} is not null)"
-DIM = f"""i as (select device_serial, min(event_timestamp) f, max(event_timestamp) l, count(*) n, {_LAST("imei")} imei, {_LAST("imsi")} imsi, {_LAST("iccid")} iccid, {_LAST("identity_auxiliary")} aux, {_LAST("protocol_version")} pv, {_LAST("has_valid_imei_format")} v1, {_LAST("has_valid_imsi_format")} v2, {_LAST("has_valid_iccid_format")} v3 from ib group by 1),
-t as (select device_serial, min(event_timestamp) f, max(event_timestamp) l, count(*) n, {_LAST("protocol_version")} pv from tb group by 1),
-dim as (select coalesce(i.device_serial, t.device_serial) device_serial, imei current_imei, imsi current_imsi, iccid current_iccid, aux current_identity_auxiliary, coalesce(i.pv, t.pv) current_protocol_version, least(i.f, t.f) first_seen_at, greatest(i.l, t.l) last_seen_at, i.f first_identity_at, i.l last_identity_at, t.f first_telemetry_at, t.l last_telemetry_at,
-coalesce(i.n, 0) identity_event_count, coalesce(t.n, 0) telemetry_event_count, coalesce(i.n, 0) > 0 has_identity_event, coalesce(t.n, 0) > 0 has_telemetry_event, v1 current_imei_format_valid, v2 current_imsi_format_valid, v3 current_iccid_format_valid from i full join t on i.device_serial = t.device_serial)"""
+DIM = f"""di as (select device_serial, min(event_timestamp) f, max(event_timestamp) l, count(*) n, {_LAST("imei")} imei, {_LAST("imsi")} imsi, {_LAST("iccid")} iccid, {_LAST("identity_auxiliary")} aux, {_LAST("protocol_version")} pv, {_LAST("has_valid_imei_format")} v1, {_LAST("has_valid_imsi_format")} v2, {_LAST("has_valid_iccid_format")} v3 from ib group by 1),
+dt as (select device_serial, min(event_timestamp) f, max(event_timestamp) l, count(*) n, {_LAST("protocol_version")} pv from tb group by 1),
+dim as (select coalesce(di.device_serial, dt.device_serial) device_serial, imei current_imei, imsi current_imsi, iccid current_iccid, aux current_identity_auxiliary, coalesce(di.pv, dt.pv) current_protocol_version, least(di.f, dt.f) first_seen_at, greatest(di.l, dt.l) last_seen_at, di.f first_identity_at, di.l last_identity_at, dt.f first_telemetry_at, dt.l last_telemetry_at,
+coalesce(di.n, 0) identity_event_count, coalesce(dt.n, 0) telemetry_event_count, coalesce(di.n, 0) > 0 has_identity_event, coalesce(dt.n, 0) > 0 has_telemetry_event, v1 current_imei_format_valid, v2 current_imsi_format_valid, v3 current_iccid_format_valid from di full join dt on di.device_serial = dt.device_serial)"""
 LASTPOS = f"""lp as (select device_serial, strftime(event_timestamp, '%Y-%m-%d') last_position_date, event_timestamp last_position_at, server_timestamp received_at, latitude, longitude, speed, direction_degrees, battery_voltage, internal_battery, odometer_total, horimeter, hdop, rx_level, message_type, report_type, serial_count, protocol_version, position_quality, source_file
 from tb where {_SHOWN} qualify row_number() over (partition by device_serial order by event_timestamp desc, server_timestamp desc nulls last, serial_count desc nulls last, row_id) = 1)"""
 ROUTE = f"""rp as (select strftime(event_timestamp, '%Y-%m-%d') event_date, device_serial, row_number() over (partition by device_serial, strftime(event_timestamp, '%Y-%m-%d') order by event_timestamp, server_timestamp nulls last, serial_count nulls last, row_id) point_sequence, event_timestamp, server_timestamp received_at, latitude, longitude, speed, direction_degrees, odometer_trip, odometer_total, horimeter, hdop, rx_level, message_type, report_type, serial_count, protocol_version, position_quality, coalesce(speed, 0) >= 5 is_moving, source_file from tb where {_SHOWN})"""
