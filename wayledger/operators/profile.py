@@ -66,7 +66,7 @@ def _medians(counts: DataFrame, keys: list[str], ranges: Mapping[str, tuple[floa
     """Exact median of the values in range, from counts: the mean of the two middle ones.
 
     Values are ranked within 1024 bins of their column's range, after the bins' own totals, so
-    no task ranks all values of a column.
+    no task ranks all values of a column; a column without a range is one bin.
     """
     bin_ = F.lit(0)
     for c, (lo, hi) in ranges.items():
