@@ -1,7 +1,8 @@
 """Analytic products over the typed layer, as DataFrame functions.
 
 The optional scopes restrict a rebuild. They are applied to the inputs (partition columns and
-grouping keys), so that a rebuild reads only what it needs.
+grouping keys), so that a rebuild reads only what it needs. ``deduped`` says that telemetry has
+been through ``dedup_telemetry`` with ``by_day`` already, as when several products share it.
 """
 
 from __future__ import annotations
@@ -61,7 +62,7 @@ def _by_time(value: str, pick=F.max_by, where: Column | None = None) -> Column:
     return pick(value, F.when(known, F.struct("event_timestamp", "row_id")))
 
 
-def dim_device(telemetry: DataFrame, identity: DataFrame, devices: DataFrame | None = None) -> DataFrame:
+def dim_device(telemetry: DataFrame, identity: DataFrame, devices: DataFrame | None = None, deduped: bool = False) -> DataFrame:
     """One row per device: latest known value of each identity field, and its activity.
 
     The current values are each the latest non-null one, so they may come from several reports.
@@ -72,7 +73,8 @@ def dim_device(telemetry: DataFrame, identity: DataFrame, devices: DataFrame | N
         *[_by_time(c).alias(f"current_{c}") for c in ("imei", "imsi", "iccid", "identity_auxiliary")], _by_time("protocol_version").alias("i_protocol"),
         *[_by_time(f"has_valid_{c}_format").alias(f"current_{c}_format_valid") for c in ("imei", "imsi", "iccid")],
     )
-    t = dedup_telemetry(_only_devices(telemetry, devices)).groupBy("device_serial").agg(F.min("event_timestamp").alias("first_telemetry_at"), F.max("event_timestamp").alias("last_telemetry_at"), F.count(F.lit(1)).alias("n_telemetry"), _by_time("protocol_version").alias("t_protocol"))
+    rows = _only_devices(telemetry, devices)
+    t = (rows if deduped else dedup_telemetry(rows)).groupBy("device_serial").agg(F.min("event_timestamp").alias("first_telemetry_at"), F.max("event_timestamp").alias("last_telemetry_at"), F.count(F.lit(1)).alias("n_telemetry"), _by_time("protocol_version").alias("t_protocol"))
     j = i.join(t, "device_serial", "full_outer")
     n_i, n_t = F.coalesce("n_identity", F.lit(0)), F.coalesce("n_telemetry", F.lit(0))
     out = j.withColumns({
@@ -82,27 +84,28 @@ def dim_device(telemetry: DataFrame, identity: DataFrame, devices: DataFrame | N
     return align(out, DIM_DEVICE)
 
 
-def _positions(telemetry: DataFrame, by_day: bool = False) -> DataFrame:
+def _positions(telemetry: DataFrame, by_day: bool, deduped: bool) -> DataFrame:
     """Deduplicated rows with coordinates that can be shown; 0/0 can't."""
-    return dedup_telemetry(telemetry, by_day).where("has_valid_coordinates and not (latitude = 0 and longitude = 0)")
+    return (telemetry if deduped else dedup_telemetry(telemetry, by_day)).where("has_valid_coordinates and not (latitude = 0 and longitude = 0)")
 
 
-def last_position(telemetry: DataFrame, devices: DataFrame | None = None) -> DataFrame:
+def last_position(telemetry: DataFrame, devices: DataFrame | None = None, deduped: bool = False) -> DataFrame:
     w = Window.partitionBy("device_serial").orderBy(F.col("event_timestamp").desc(), F.col("server_timestamp").desc_nulls_last(), F.col("serial_count").desc_nulls_last(), "row_id")
-    last = _positions(_only_devices(telemetry, devices)).withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
+    last = _positions(_only_devices(telemetry, devices), False, deduped).withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
     return align(last.withColumns({"last_position_date": F.date_format("event_timestamp", "yyyy-MM-dd"), "last_position_at": F.col("event_timestamp"), "received_at": F.col("server_timestamp")}), LAST_POSITION)
 
 
-def route_points(telemetry: DataFrame, dates: Sequence[str] | None = None) -> DataFrame:
+def route_points(telemetry: DataFrame, dates: Sequence[str] | None = None, deduped: bool = False) -> DataFrame:
     """Positions of each device and day in order."""
-    p = _positions(_only_dates(telemetry, dates), by_day=True).withColumn("received_at", F.col("server_timestamp"))
+    p = _positions(_only_dates(telemetry, dates), True, deduped).withColumn("received_at", F.col("server_timestamp"))
     w = Window.partitionBy("device_serial", "event_date").orderBy("event_timestamp", F.col("received_at").asc_nulls_last(), F.col("serial_count").asc_nulls_last(), "row_id")
     return align(p.withColumns({"point_sequence": F.row_number().over(w).cast("long"), "is_moving": F.coalesce("speed", F.lit(0.0)) >= MOVING_FROM}), ROUTE_POINTS)
 
 
-def daily_summary(telemetry: DataFrame, dates: Sequence[str] | None = None) -> DataFrame:
+def daily_summary(telemetry: DataFrame, dates: Sequence[str] | None = None, deduped: bool = False) -> DataFrame:
     """One row per device and day."""
-    base = dedup_telemetry(_only_dates(telemetry, dates), by_day=True)
+    base = _only_dates(telemetry, dates)
+    base = base if deduped else dedup_telemetry(base, by_day=True)
     ok = F.coalesce("has_valid_coordinates", F.lit(False))
     moving = F.col("speed") >= MOVING_FROM
     times = F.col("event_timestamp")

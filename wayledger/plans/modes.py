@@ -119,7 +119,7 @@ class Silver:
         """
         before = {k: store.snapshot() for k, (store, _) in self._tables().items()}
         if batch_ids is None or not self.ready():
-            built = silver.build_silver(bronze.table.read())
+            built = self._built(silver.resolve_identity(silver.normalize(bronze.table.read())))
             self.telemetry.overwrite(built.telemetry)
             self.identity.overwrite(built.identity)
             self.rejected.overwrite(built.rejected)
@@ -133,7 +133,7 @@ class Silver:
         if not days:
             return SilverResult(NOOP)
         if compat:
-            built = silver.build_silver(self._scope(bronze, index, days), self.identity.read())
+            built = self._built(silver.resolve_identity(silver.normalize(self._scope(bronze, index, days)), self.identity.read()))
         else:
             built, days = self._resolved_by_all(bronze, index, days)
         dated = [d for d in days if d != UNKNOWN]
@@ -158,8 +158,12 @@ class Silver:
         if more := [x.event_day for x in silver.changed_days(by_file, t, i, r).collect()]:
             days = sorted({*days, *more})
             scope = silver.normalize(self._scope(bronze, index, days))
-        c = silver.classify(silver.resolve_identity(scope, by_file=by_file))
-        return silver.SilverTables(silver.telemetry_table(c), silver.identity_table(c), silver.rejected_table(c)), days
+        return self._built(silver.resolve_identity(scope, by_file=by_file)), days
+
+    @staticmethod
+    def _built(resolved: DataFrame) -> silver.SilverTables:
+        """Text is normalised and identity resolved once; the three tables read that result."""
+        return silver.split(materialize(silver.classify(resolved), "classified"))
 
     def _note(self, batches: DataFrame, whole: bool) -> None:
         (self.ledger.overwrite if whole else self.ledger.append)(batches.coalesce(1))
@@ -202,12 +206,13 @@ class Gold:
 
     def _full(self, s: Silver) -> GoldResult:
         t, i, r = s.telemetry.read(), s.identity.read(), s.rejected.read()
-        for store, fresh in ((self.dim_device, gold.dim_device(t, i)), (self.last_position, gold.last_position(t))):
+        base = materialize(gold.dedup_telemetry(t, by_day=True), "base")  # shuffled and deduplicated once for four products
+        for store, fresh in ((self.dim_device, gold.dim_device(base, i, deduped=True)), (self.last_position, gold.last_position(base, deduped=True))):
             fresh = materialize(fresh, "entities")
             check_key(fresh, "device_serial")
             store.overwrite(fresh)
-        self.route_points.overwrite(gold.route_points(t))
-        self.daily_summary.overwrite(gold.daily_summary(t))
+        self.route_points.overwrite(gold.route_points(base, deduped=True))
+        self.daily_summary.overwrite(gold.daily_summary(base, deduped=True))
         self.quality_summary.overwrite(gold.quality_summary(t, i, r))
         return GoldResult(FULL, rows={k: x.read().count() for k, x in self.stores().items()})
 

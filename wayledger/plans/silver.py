@@ -209,6 +209,11 @@ class SilverTables:
     rejected: DataFrame
 
 
+def split(classified: DataFrame) -> SilverTables:
+    """The three tables of classified rows."""
+    return SilverTables(telemetry_table(classified), identity_table(classified), rejected_table(classified))
+
+
 def build_silver(bronze: DataFrame, history: DataFrame | None = None, compat: bool = True) -> SilverTables:
-    c = classify(resolve_identity(normalize(bronze), history, compat))
-    return SilverTables(telemetry_table(c), identity_table(c), rejected_table(c))
+    """From bronze to the typed tables, as lazy plans."""
+    return split(classify(resolve_identity(normalize(bronze), history, compat)))
