@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import identity, rows, t, telemetry
 from wayledger.contracts import SOURCE_COLUMNS
+from wayledger.functions.geo import distance_np
 from wayledger.operators import asof, bad_rows, history, late_events, profile, trips
 from wayledger.operators.trips import _Device, _Dwell, _stitch_device
 
@@ -302,3 +303,40 @@ def test_as_known_by_brute_force(spark):
     for i, e in enumerate(ev):
         known = [(r["event_timestamp"], r["ingested_at"], f"i{k}", r["imei"]) for k, r in enumerate(ids) if r["device_serial"] == e["device_serial"] and max(r["event_timestamp"], r["ingested_at"].replace(tzinfo=None)) <= e["device_timestamp"]]
         assert got.get(f"r{i}") == (max(known)[3] if known else None)
+
+
+def naive_stops(points, radius=100.0, minutes=15):
+    """Grow a place from each ping in turn, around the median of its pings."""
+    out, i = [], 0
+    while i < len(points):
+        held, last, j = [points[i]], i, i + 1
+        while j < len(points):
+            lats, lons = sorted(p[1] for p in held), sorted(p[2] for p in held)
+            centre = lats[len(lats) // 2], lons[len(lons) // 2]
+            if distance_np(*centre, points[j][1], points[j][2]) <= radius:
+                held.append(points[j])
+                last = j
+            elif j - last >= 2:
+                break
+            j += 1
+        if points[last][0] - points[i][0] >= dt.timedelta(minutes=minutes):
+            out.append((points[i][0], points[last][0]))
+            i = last + 1
+        else:
+            i += 1
+    return out
+
+
+def test_stops_by_brute_force(spark, data):
+    df = spark.read.parquet(f"{data}/telemetry_events.parquet")
+    seen, tracks = set(), {}
+    cols = ["device_serial", "device_timestamp", "message_type", "serial_count", "event_timestamp", "latitude", "longitude"]
+    for r in df.orderBy("ingested_at", "row_id").select(*cols).collect():
+        key = (r.device_serial, r.device_timestamp, r.message_type, r.serial_count)
+        if r.device_timestamp is not None and key in seen:
+            continue
+        seen.add(key)
+        if r.latitude is not None and r.longitude is not None and abs(r.latitude) <= 90 and (r.latitude, r.longitude) != (0, 0):
+            tracks.setdefault(r.device_serial, []).append((r.event_timestamp, r.latitude, r.longitude))
+    want = [(dev, *s) for dev, p in tracks.items() for s in naive_stops(sorted(p))]
+    assert rows(trips.stops(df)) == sorted(want, key=str) and want
