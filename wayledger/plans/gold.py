@@ -15,7 +15,15 @@ from pyspark.sql import functions as F
 from wayledger.contracts import DAILY_SUMMARY, DIM_DEVICE, LAST_POSITION, QUALITY_SUMMARY, ROUTE_POINTS, align
 from wayledger.functions.dialect import exact_mean, percentage
 
+# From which speed a device moves; the reasons counted by the quality summary.
 MOVING_FROM = 5
+REASON_COUNTS = {
+    "missing_message_type_count": "MISSING_MESSAGE_TYPE",
+    "invalid_message_type_count": "INVALID_MESSAGE_TYPE",
+    "invalid_timestamp_count": "MISSING_OR_INVALID_TIMESTAMP",
+    "missing_device_serial_count": "MISSING_DEVICE_SERIAL",
+    "unknown_rejection_count": "UNKNOWN_REJECTION_REASON",
+}
 
 
 def _key(c: str) -> Column:
@@ -132,7 +140,6 @@ def quality_summary(telemetry: DataFrame, identity: DataFrame, rejected: DataFra
 
     One pass: the three tables are counted per day each, and only those counts are shuffled.
     """
-    reasons = {"missing_message_type_count": "MISSING_MESSAGE_TYPE", "invalid_message_type_count": "INVALID_MESSAGE_TYPE", "invalid_timestamp_count": "MISSING_OR_INVALID_TIMESTAMP", "missing_device_serial_count": "MISSING_DEVICE_SERIAL", "unknown_rejection_count": "UNKNOWN_REJECTION_REASON"}
     none = F.lit(None).cast("string")
     part = lambda df, kind, day, reason: df.select(day.alias("metric_date"), F.lit(kind).alias("kind"), reason.alias("reason"))
     day = F.col("event_date").cast("string")
@@ -143,7 +150,7 @@ def quality_summary(telemetry: DataFrame, identity: DataFrame, rejected: DataFra
     )
     rows = _only_dates(rows, dates, "metric_date")
     n = lambda k: F.count_if(F.col("kind") == k)
-    g = rows.groupBy("metric_date").agg(*[n(k).alias(f"{k}_event_count") for k in ("telemetry", "identity", "rejected")], *[F.count_if(F.col("reason") == r).alias(c) for c, r in reasons.items()])
+    g = rows.groupBy("metric_date").agg(*[n(k).alias(f"{k}_event_count") for k in ("telemetry", "identity", "rejected")], *[F.count_if(F.col("reason") == r).alias(c) for c, r in REASON_COUNTS.items()])
     accepted = F.col("telemetry_event_count") + F.col("identity_event_count")
     total = accepted + F.col("rejected_event_count")
     return align(g.withColumns({"accepted_event_count": accepted, "total_event_count": total, "rejection_percentage": percentage(F.col("rejected_event_count"), total, 4)}), QUALITY_SUMMARY)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wayledger.contracts import IDENTITY, RAW_NAMES, REJECTED, TELEMETRY, align
 from wayledger.functions.dialect import clean_text, full_match, strip_all, try_double, try_integer, try_timestamp
 
+# The legacy protocol, patterns of type and IMEI, and the reasons in their order.
 LEGACY_PROTOCOL = "V14.06.111"
 TYPE_PATTERN = "T[0-9]+"
 IMEI_PATTERN = "[0-9]{15}"
