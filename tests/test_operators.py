@@ -121,6 +121,24 @@ def test_history_is_the_same_for_any_checkpoint_spacing(spark, days):
     assert got == sorted(want)
 
 
+def test_history_store_takes_late_reports_and_tells_the_past(spark, tmp_path):
+    rnd = random.Random(6)
+    base = t("2024-01-01")
+    data = [{"device_serial": f"D{rnd.randrange(3)}", "event_timestamp": base + dt.timedelta(hours=rnd.randrange(900)), "imei": rnd.choice([None, "a1", "b2"]), "iccid": rnd.choice([None, "c3", "d4"])} for _ in range(90)]
+    reports = history.identity_reports(identity(spark, data)).cache()
+    part = lambda k: reports.where(F.pmod(F.xxhash64("tie.id"), F.lit(3)) == k)
+    store = history.HistoryStore(spark, f"file://{tmp_path}/h", ["imei", "iccid"], 7)
+    for k in range(3):
+        assert store.update(part(k))
+    assert store.update(reports.where("false")) == []
+    h = history.attribute_history(reports, ["imei", "iccid"])
+    assert rows(store.history()) == rows(h)
+    assert rows(history.attribute_history(reports.where("false"), ["imei", "iccid"])) == []
+    at = F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
+    want = rows(h.where((F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > at))), "entity", "imei", "iccid")
+    assert rows(store.as_of(at), "entity", "imei", "iccid") == want and want
+
+
 # trips ------------------------------------------------------------------------------------
 
 

@@ -14,10 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayledger.operators.track import as_text
+from wayledger.session import scratch_path
+from wayledger.store import TableStore
+
+_BEFORE = -(1 << 62)
 
 
 def telling(value: str, flag: str) -> Column:
@@ -40,21 +44,26 @@ def _period(days: int) -> Column:
     return F.floor(F.unix_micros(F.col("at").cast("timestamp")) / F.lit(days * 86_400_000_000)).alias("period")
 
 
-def checkpoints(reports: DataFrame, attributes: Sequence[str], days: int = 7) -> DataFrame:
-    """(entity, period, each attribute): the full version standing at the start of the period."""
+def checkpoints(reports: DataFrame, attributes: Sequence[str], days: int = 7, base: DataFrame | None = None) -> DataFrame:
+    """(entity, period, each attribute): the full version standing at the start of the period.
+
+    ``base`` has (entity, each attribute): what stood before the first of the reports.
+    """
     last = [F.max_by(a, F.when(F.col(a).isNotNull(), F.struct("at", "tie"))).alias(a) for a in attributes]
     ends = reports.withColumn("period", _period(days)).groupBy("entity", "period").agg(*last)
+    if base is not None:
+        ends = ends.unionByName(base.select("entity", F.lit(_BEFORE).cast("long").alias("period"), *attributes))
     before = Window.partitionBy("entity").orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
-    return ends.select("entity", "period", *[F.last(a, ignorenulls=True).over(before).alias(a) for a in attributes])
+    return ends.select("entity", "period", *[F.last(a, ignorenulls=True).over(before).alias(a) for a in attributes]).where(F.col("period") > _BEFORE)
 
 
-def patches(reports: DataFrame, attributes: Sequence[str], days: int = 7) -> DataFrame:
+def patches(reports: DataFrame, cp: DataFrame, attributes: Sequence[str], days: int = 7) -> DataFrame:
     """One row per report that sets or changes an attribute.
 
     Columns: entity, period, at, tie, ``patch`` (map of just the attributes it sets to their new
     values), ``changes`` (how many of them had another value before; a first value is none).
     """
-    cp = checkpoints(reports, attributes, days).select("entity", "period", *[F.col(a).alias(f"cp_{a}") for a in attributes])
+    cp = cp.select("entity", "period", *[F.col(a).alias(f"cp_{a}") for a in attributes])
     rows = reports.withColumn("period", _period(days)).join(cp, ["entity", "period"])
     before = Window.partitionBy("entity", "period").orderBy("at", "tie").rowsBetween(Window.unboundedPreceding, -1)
     for a in attributes:
@@ -85,15 +94,75 @@ def fold(cp: DataFrame, deltas: DataFrame, attributes: Sequence[str]) -> DataFra
     return versions.join(after, ["entity", "period"]).select("entity", F.col("at").alias("valid_from"), ends.alias("valid_to"), *attributes, F.col("total").alias("changes"))
 
 
-def attribute_history(reports: DataFrame, attributes: Sequence[str], days: int = 7) -> DataFrame:
-    """The whole history of each entity, through checkpoints and patches.
+class HistoryStore:
+    """Reports, checkpoints and patches of entities under ``path``, all by period."""
+
+    def __init__(self, spark: SparkSession, path: str, attributes: Sequence[str], days: int = 7):
+        self.attributes, self.days = list(attributes), days
+        self.reports, self.checkpoints, self.patches = (TableStore(spark, f"{path}/{t}", "period") for t in ("reports", "checkpoints", "patches"))
+
+    def update(self, reports: DataFrame) -> list[int]:
+        """Take in reports, late ones too; gives the periods that were built anew.
+
+        Periods before the first that the reports fall on stay as they are. From there on,
+        checkpoints and patches are built from the stored reports and what stood before, and are
+        replaced at once each. No reports change nothing.
+        """
+        rows = reports.select("entity", "at", "tie", *self.attributes, _period(self.days).cast("string").alias("period"))
+        touched = [int(v) for v in self.reports.append(rows.hint("rebalance", "period"))]
+        if not touched:
+            return []
+        self.reports.compact()
+        names = sorted((v for v in self.reports.snapshot().parts if int(v) >= min(touched)), key=int)
+        kept = self.reports.read(only=names).drop("period")
+        base = self._standing(min(touched))
+        for store, build in ((self.checkpoints, lambda: checkpoints(kept, self.attributes, self.days, base)), (self.patches, lambda: patches(kept, self._read(self.checkpoints, names), self.attributes, self.days))):
+            out = build().withColumn("period", F.col("period").cast("string")).hint("rebalance", "period")
+            if store.exists():
+                store.replace_partitions(out, names)
+            else:
+                store.overwrite(out)
+        return sorted(map(int, names))
+
+    def _read(self, store: TableStore, names: list[str] | None = None) -> DataFrame:
+        return store.read(only=names).withColumn("period", F.col("period").cast("long"))
+
+    def _standing(self, before: int | None = None, at: Column | None = None) -> DataFrame | None:
+        """(entity, each attribute): what stood at a time, folded from the nearest checkpoint."""
+        if not self.checkpoints.exists():
+            return None
+        cp, deltas = self._read(self.checkpoints), self._read(self.patches)
+        if before is not None:
+            cp, deltas = cp.where(F.col("period") < before), deltas.where(F.col("period") < before)
+        if at is not None:
+            day = F.floor(F.unix_micros(at.cast("timestamp")) / F.lit(self.days * 86_400_000_000))
+            cp, deltas = cp.where(F.col("period") <= day), deltas.where((F.col("period") <= day) & (F.col("at") <= at))
+        near = cp.groupBy("entity").agg(F.max_by(F.struct(*self.attributes), "period").alias("cp"), F.max("period").alias("period"))
+        last = deltas.join(near.select("entity", "period"), ["entity", "period"], "left_semi").groupBy("entity").agg(*[F.max_by(F.col("patch")[a], F.when(F.col("patch")[a].isNotNull(), F.struct("at", "tie"))).alias(f"p_{a}") for a in self.attributes])
+        return near.join(last, "entity", "left").select("entity", *[F.coalesce(f"p_{a}", f"cp.{a}").alias(a) for a in self.attributes])
+
+    def as_of(self, at: Column) -> DataFrame:
+        """The version of every entity that stood at a time."""
+        return self._standing(at=at)
+
+    def history(self) -> DataFrame:
+        """Validity rows of all entities."""
+        return fold(self._read(self.checkpoints), self._read(self.patches), self.attributes)
+
+
+def attribute_history(reports: DataFrame, attributes: Sequence[str], days: int = 7, path: str | None = None) -> DataFrame:
+    """The whole history of each entity, through stored checkpoints and patches.
 
     ``reports`` has entity, at, tie and the attributes; a null attribute says nothing and the last
     value stays. Reports are taken in order of (at, tie). Repeated rows set nothing and vanish;
     an empty table gives no rows. Reports without entity or time must be left out before.
     """
-    attributes = list(attributes)
-    return fold(checkpoints(reports, attributes, days), patches(reports, attributes, days), attributes)
+    spark = reports.sparkSession
+    store = HistoryStore(spark, path or scratch_path(spark, "history"), attributes, days)
+    if not store.update(reports):
+        empty = patches(reports.limit(0), checkpoints(reports.limit(0), store.attributes, days), store.attributes, days)
+        return fold(checkpoints(reports.limit(0), store.attributes, days), empty, store.attributes)
+    return store.history()
 
 
 def identity_changes(events: DataFrame, days: int = 7) -> DataFrame:
