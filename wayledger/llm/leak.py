@@ -17,6 +17,7 @@ import math
 import re
 import sys
 import unicodedata
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -297,28 +298,36 @@ def page_items(words: list[str], index: ItemIndex, rules: LeakRules) -> list[int
     if not near and not skip:
         return []
     both = list(heapq.merge(near, skip))
-    out: set[int] = set()
-    wanted: set[int] = set()
-    for lo in range(0, max(1, len(words) - rules.stride), rules.stride):
-        hits = {t for j, t in both if lo <= j < lo + rules.passage} if len(words) > rules.passage else {t for _, t in both}
-        entries = [terms[t] for t in hits]
+    at = [j for j, _ in both]
+    between = lambda lo, hi: both[bisect_left(at, lo) : bisect_left(at, hi)]
+    wanted: dict[int, list[int]] = {}
+    for lo in range(0, max(1, len(words) - rules.passage + rules.stride), rules.stride):
+        entries = [terms[t] for t in {t for _, t in between(lo, lo + rules.passage)}]
         if sum(e[5] for e in entries) > rules.threshold:
-            wanted.update(wand(entries, rules.threshold, index.block))
-        if len(words) <= rules.passage:
-            break
-    for n in wanted:
-        points = []
-        for j, t in both:
-            docs, _, where, *_ = terms[t]
-            try:
-                places = where[docs.index(n)]
-            except ValueError:
-                continue
-            gap = 2 if "  " in t else 1
-            for i in places:
-                points += [(i, j), (i + gap, j + gap)]
-        if longest_stretch(index.words[n], words, points, rules.max_insert) >= rules.min_words:
-            out.add(n)
+            for n in wand(entries, rules.threshold, index.block):
+                wanted.setdefault(n, []).append(lo)
+    out = []
+    for n, starts in wanted.items():
+        # verify around the passages that were retrieved; those that overlap are read as one
+        reach = rules.max_insert + len(index.words[n])
+        spans: list[list[int]] = []
+        for lo in starts:
+            if spans and lo - reach <= spans[-1][1]:
+                spans[-1][1] = lo + rules.passage + reach
+            else:
+                spans.append([lo - reach, lo + rules.passage + reach])
+        for lo, hi in spans:
+            points = []
+            for j, t in between(lo, hi):
+                docs, _, where, *_ = terms[t]
+                k = bisect_left(docs, n)
+                if k < len(docs) and docs[k] == n:
+                    gap = 2 if "  " in t else 1
+                    for i in where[k]:
+                        points += [(i, j), (i + gap, j + gap)]
+            if longest_stretch(index.words[n], words, points, rules.max_insert) >= rules.min_words:
+                out.append(n)
+                break
     return sorted(out)
 
 
