@@ -15,7 +15,7 @@ from tests.helpers import identity, rows, t, telemetry
 from wayledger.contracts import SOURCE_COLUMNS
 from wayledger.functions.geo import distance_np
 from wayledger.operators import asof, bad_rows, history, late_events, profile, trips
-from wayledger.operators.trips import _Device, _Dwell, _stitch_device
+from wayledger.operators.track import device_track
 
 CLASH = "1 as part, 'x' as seq, 2 as rn, 3 as tie, 4 as period, 5 as bucket, 6 as load, 7 as value, 8 as n, 9 as alone, 10 as at, 11 as entity, 12 as hour_start, 13 as seen"
 
@@ -147,10 +147,10 @@ def drive(stops, step=120):
     out, now = [], t("2024-01-01 08:00")
     for k, (minutes, lat) in enumerate(stops):
         for _ in range(minutes * 60 // step + 1):
-            out.append((now, lat, -38.5))
+            out.append((now, lat, 9.2))
             now += dt.timedelta(seconds=step)
         for j in range(1, 4):
-            out.append((now, lat + 0.004 * j, -38.49 - 0.001 * j - 0.1 * k))
+            out.append((now, lat + 0.004 * j, 9.21 - 0.001 * j - 0.1 * k))
             now += dt.timedelta(seconds=step)
     return out
 
@@ -160,8 +160,8 @@ def pings(spark, points, **kw):
 
 
 def test_stops_and_trips(spark):
-    points = drive([(20, -3.7), (6, -3.6), (30, -3.5)])
-    points.insert(5, (points[4][0] + dt.timedelta(seconds=30), -3.2, -38.0))  # one stray ping
+    points = drive([(20, 45.1), (6, 45.2), (30, 45.3)])
+    points.insert(5, (points[4][0] + dt.timedelta(seconds=30), 45.6, 9.9))  # one stray ping
     df = pings(spark, points).unionByName(telemetry(spark, [{"device_timestamp": t("2024-01-01 08:01"), "latitude": y, "longitude": x, "row_id": f"bad{y}{x}", "serial_count": 900} for y, x in ((None, 1.0), (95.0, 1.0), (0.0, 0.0), (float("nan"), 1.0), (1.0, None), (1.0, float("nan")))]))
     got = trips.stops_and_trips(df.selectExpr("*", *CLASH.split(", "))).orderBy("start_at").collect()
     assert [r.kind for r in got] == ["stop", "trip", "stop"]
@@ -171,46 +171,92 @@ def test_stops_and_trips(spark):
 
 
 def test_two_pings_elsewhere_end_a_stop_and_silence_does_not(spark):
-    a = [(t("2024-01-01 08:00") + dt.timedelta(minutes=5 * i), -3.7, -38.5) for i in range(5)]
-    away = [(t("2024-01-01 08:22"), -3.9, -38.5), (t("2024-01-01 08:23"), -3.8, -38.5)]
-    b = [(t("2024-01-01 08:25") + dt.timedelta(minutes=5 * i), -3.7, -38.5) for i in range(5)]
-    later = [(t("2024-01-02 20:00"), -3.7, -38.5)]
+    a = [(t("2024-01-01 08:00") + dt.timedelta(minutes=5 * i), 45.1, 9.2) for i in range(5)]
+    away = [(t("2024-01-01 08:22"), 44.9, 9.2), (t("2024-01-01 08:23"), 45.0, 9.2)]
+    b = [(t("2024-01-01 08:25") + dt.timedelta(minutes=5 * i), 45.1, 9.2) for i in range(5)]
+    later = [(t("2024-01-02 20:00"), 45.1, 9.2)]
     text = lambda df: rows(df.select(late_events.as_text("start_at"), late_events.as_text("end_at")))
     assert text(trips.stops(pings(spark, a + away + b))) == [("2024-01-01 08:00:00", "2024-01-01 08:20:00"), ("2024-01-01 08:25:00", "2024-01-01 08:45:00")]
     assert text(trips.stops(pings(spark, a + away[:1] + b + later))) == [("2024-01-01 08:00:00", "2024-01-02 20:00:00")]
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.integers(0, 10**6), st.integers(1, 60))
-def test_stitching_partitions_gives_the_stops_of_one_pass(seed, cut):
+def made_track(rnd, n, noise, drift):
+    """Pings that stand, walk off slowly, stray and drive."""
+    points, y, x, now, going = [], 45.0, 9.0, 0, 0.0
+    for _ in range(n):
+        going = rnd.choice([0.0, 0.0, 0.0, 0.004, -0.01]) if rnd.random() < 0.15 else going
+        y, x = y + going + drift, x + going / 2
+        stray = 0.05 * (rnd.random() < 0.06)
+        points.append((now, y + stray + rnd.gauss(0, noise / 111_000), x + rnd.gauss(0, noise / 78_000)))
+        now += rnd.choice([0, 60, 300, 400]) * 1_000_000
+    return points
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(0, 10**6), st.sampled_from([0, 8, 22, 35, 60]), st.sampled_from([0.0, 0.0, 2e-5, 2e-4]), st.integers(0, 40), st.integers(1, 25))
+def test_stops_do_not_depend_on_cuts(seed, noise, drift, cuts, batch):
+    """Any partitions and batches give exactly the stops and ways of one pass, ping by ping."""
     rnd = random.Random(seed)
-    points, place, now = [], 0.0, 0
-    for _ in range(60):
-        if rnd.random() < 0.25:
-            place += rnd.choice([0.01, 0.02, -0.03])
-        noise = 0.05 * (rnd.random() < 0.08)
-        points.append((now, place + noise + rnd.uniform(-2e-4, 2e-4), 10.0))
-        now += rnd.choice([60, 300, 400]) * 1_000_000
-    step, least = 100.0 / 111194.9, 15 * 60 * 1_000_000
-
-    def run(chunks):
-        out = []
-        for k, chunk in enumerate(chunks):
-            d = _Device("d", step, 100.0, least)
-            for p in chunk:
-                d.ping(*p)
-            for x in d.finish(True, True):
-                x.part = k
-                out.append(x)
-        return sorted((x.start, x.end) for x in _stitch_device(out, step, 100.0) if x.end - x.start >= least)
-
-    whole, split = run([points]), run([c for c in (points[:cut], points[cut:]) if c])
-    # a place may only be told otherwise right at the border, where one side sees too few pings
-    edge = points[min(cut, len(points) - 1)][0]
-    near = 6 * 400 * 1_000_000
-    keep = lambda s: [x for x in s if x[1] < edge - near or x[0] > edge + near]
-    assert [x for x in keep(whole)] == [x for x in keep(split)]
-    assert isinstance(_Dwell(0, 1.0, 1.0, 0.0).holds(1.0, 1.0, step, 100.0), bool)
+    rules = (100.0 / trips._DEG_M, 100.0, 15 * 60 * 1_000_000)
+    tracks = {f"d{k}": made_track(rnd, rnd.choice([1, 3, 40, 150]), noise, drift) for k in range(3)}
+    want = []
+    for name, points in tracks.items():
+        p = trips.Places(*rules)
+        for ping in points:
+            p.ping(*ping)
+        p.finish()
+        odo = 0.0
+        for s in p.closed:
+            odo += s[5]
+            want.append((name, *s[:5], odo))
+    every = [(name, *ping) for name, points in tracks.items() for ping in points]
+    at = sorted(rnd.randrange(len(every) + 1) for _ in range(cuts))
+    kinds = [pa.string(), pa.int64(), pa.float64(), pa.float64()]
+
+    def batches(rows_in):
+        for k in range(0, len(rows_in), batch):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows_in[k : k + batch], strict=True), kinds, strict=True)], names=["device_serial", "ts", "lat", "lon"])
+
+    local = [r for k, (a, b) in enumerate(zip([0, *at], [*at, len(every)], strict=True)) for out in trips.settle(k, batches(every[a:b]), *rules) for r in out.to_pylist()]
+    border = sorted((r for r in local if r["kind"] != trips.STOP), key=lambda r: (r["device_serial"], r["part"], r["seq"]))
+    sent = [pa.RecordBatch.from_pylist(border[k : k + batch], schema=trips._ARROW) for k in range(0, len(border), batch)]
+    rows_out = [r for r in local if r["kind"] == trips.STOP] + [r for out in trips.replay(sent, *rules) for r in out.to_pylist()]
+    got, odo = [], {}
+    for r in sorted(rows_out, key=lambda r: (r["device_serial"], r["part"], r["seq"], r["start"])):
+        odo[r["device_serial"]] = odo.get(r["device_serial"], 0.0) + r["way"]
+        if r["kind"] == trips.STOP:
+            got.append((r["device_serial"], r["start"], r["end"], r["n"], r["lat"], r["lon"], odo[r["device_serial"]]))
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    for g, w in zip(got, want, strict=True):
+        assert g[4:6] == pytest.approx(w[4:6], abs=1e-12) and g[6] == pytest.approx(w[6], abs=1e-3)
+
+
+def test_partition_number_is_no_matter(spark, data):
+    df = spark.read.parquet(f"{data}/telemetry_events.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in ("2", "41"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            got.append([tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows(trips.stops_and_trips(df))])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got[0] == got[1] and got[0]
+
+
+def test_same_instant_follows_row_id(spark):
+    """Copies that came in together: the least row id stands; equal times follow counter, type, row id."""
+    d = t("2024-01-01 10:00")
+    rnd = random.Random(4)
+    ids = [f"{rnd.randrange(10**9):x}" for _ in range(40)]
+    copies = [{"device_timestamp": d, "serial_count": 1, "row_id": i, "latitude": 10.0 + k, "longitude": 5.0} for k, i in enumerate(ids)]
+    got = device_track(telemetry(spark, copies)).collect()
+    assert [(r.lat, r.lon) for r in got] == [(10.0 + ids.index(min(ids)), 5.0)]
+    alone = [{"device_timestamp": None, "server_timestamp": d, "serial_count": 1, "row_id": i, "latitude": 10.0 + k, "longitude": 5.0} for k, i in enumerate(ids)]
+    mixed = alone + [{"device_timestamp": d, "serial_count": 0, "row_id": "z", "latitude": 1.0, "longitude": 5.0}, {"device_timestamp": d, "serial_count": 1, "message_type": "T1", "row_id": "z2", "latitude": 2.0, "longitude": 5.0}]
+    assert [r.lat for r in device_track(telemetry(spark, mixed)).collect()] == [1.0, 2.0, *[10.0 + ids.index(i) for i in sorted(ids)]]
 
 
 # rows that fail to parse ------------------------------------------------------------------

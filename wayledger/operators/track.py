@@ -24,7 +24,7 @@ def device_track(telemetry: DataFrame) -> DataFrame:
     chosen first and its position judged after. ``ts`` is
     ``event_timestamp`` in microseconds. Rows without device, event time or usable position are
     no part of a track. Records of one device at the same instant follow serial_count, then
-    message_type, then row_id.
+    message_type, then row_id, nulls first.
     """
     t = telemetry.where(F.col("device_serial").isNotNull() & F.col("event_timestamp").isNotNull()).select(
         "device_serial",
@@ -33,7 +33,7 @@ def device_track(telemetry: DataFrame) -> DataFrame:
         "message_type",
         "serial_count",
         F.col("ingested_at").alias("seen"),
-        F.when(F.col("row_id").isNotNull(), F.xxhash64("row_id")).alias("tie"),
+        F.col("row_id").alias("tie"),
         F.col("latitude").cast("double").alias("lat"),
         F.col("longitude").cast("double").alias("lon"),
     )
@@ -41,7 +41,8 @@ def device_track(telemetry: DataFrame) -> DataFrame:
     w = Window.partitionBy("device_serial", "event_timestamp", "device_timestamp", "serial_count", "message_type", alone).orderBy(F.col("seen").asc_nulls_last(), "tie")
     first = t.repartitionByRange("device_serial", "event_timestamp").withColumn("rn", F.row_number().over(w)).where("rn = 1 or (device_timestamp is null and tie is null)")
     micros = F.unix_micros(F.col("event_timestamp").cast("timestamp"))
-    return first.where(usable_position(F.col("lat"), F.col("lon"))).select("device_serial", micros.alias("ts"), "lat", "lon")
+    track = first.where(usable_position(F.col("lat"), F.col("lon"))).select("device_serial", micros.alias("ts"), "lat", "lon", "serial_count", "message_type", "tie")
+    return track.sortWithinPartitions("device_serial", "ts", "serial_count", "message_type", "tie").select("device_serial", "ts", "lat", "lon")
 
 
 def from_micros(c: str):

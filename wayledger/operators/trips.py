@@ -1,36 +1,43 @@
 """Stops and trips from noisy location pings.
 
-Method: pings are discretised to a two-level grid (cells as wide as the stop radius, parents of
-four by four cells), dwell is run-length encoded with neighbour-cell hysteresis around the cell
-of the place's running centre, each membership is confirmed by the great-circle distance to that
-centre, dwell runs long enough are stops, and the great-circle hops between them add up to
-trips.
-
-A device may span any number of range partitions. Each partition passes on only its stops and,
-at its two borders, the few dwell runs that a neighbouring partition may continue; those few
-rows are stitched per device by the same hysteresis.
+Method: pings are discretised to a two-level grid (cells as wide as the stop radius, and the cell
+of a place's running centre with its neighbours), dwell is run-length encoded with neighbour-cell
+hysteresis around that cell, each membership is confirmed by the great-circle distance to the
+centre, dwell runs long enough are stops, and the great-circle hops between them add up to trips.
+
+A device may span any number of range partitions, and where they are cut changes nothing. Which
+run a ping belongs to depends on the pings before it only back to the last ``turn``: a ping that,
+with the one after it, lies more than two radii from both pings before. No run can hold pings
+from either side, so one begins there whatever went before. A partition therefore settles
+everything from its first turn on, and passes on the pings before it and the state at its end;
+those few rows are replayed in order for each device, without holding them. Only a device that
+never moves on within a whole partition has all pings of it replayed.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayledger.functions.geo import EARTH_M
+from wayledger.functions.geo import EARTH_M, distance_np
 from wayledger.operators.track import device_track, from_micros
 from wayledger.session import materialize
 
 _DEG_M = EARTH_M * math.pi / 180
-_EDGE = 3
-_COLS = ["device_serial", "part", "seq", "start", "end", "n", "clat", "clon", "flat", "flon", "llat", "llon", "hop", "inner", "edge"]
-_SCHEMA = "device_serial string, part int, seq long, start long, end long, n long, clat double, clon double, flat double, flon double, llat double, llon double, hop double, inner double, edge int"
-_ARROW = pa.schema([(c, pa.string() if c == "device_serial" else pa.int32() if c in ("part", "edge") else pa.int64() if c in ("seq", "start", "end", "n") else pa.float64()) for c in _COLS])
+#: Kinds of rows: a stop; a ping before the first turn; that turn; the state at a partition's end;
+#: distance covered since the last stop.
+STOP, PING, TURN, STATE, WAY = range(5)
+_INTS = {"part": pa.int32(), "seq": pa.int64(), "kind": pa.int32(), "start": pa.int64(), "end": pa.int64(), "n": pa.int64()}
+_FLOATS = ["lat", "lon", "llat", "llon", "hop", "inner", "way"]
+_AWAY = {"ats": pa.int64(), "alat": pa.float64(), "alon": pa.float64()}
+_ARROW = pa.schema([("device_serial", pa.string()), *_INTS.items(), *((c, pa.float64()) for c in _FLOATS), *_AWAY.items()])
+_SCHEMA = ", ".join(f"{f.name} {'string' if f.type == pa.string() else 'int' if f.type == pa.int32() else 'long' if f.type == pa.int64() else 'double'}" for f in _ARROW)
 
 
 def _far(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
@@ -40,70 +47,73 @@ def _far(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
     return 2 * EARTH_M * math.asin(math.sqrt(min(1.0, a)))
 
 
-class _Dwell:
-    """A run of pings at one place; a ping on the move is a run of one."""
+class Dwell:
+    """A run of pings at one place; a ping on the move is a run of one. ``lat`` and ``lon`` are sums."""
 
-    __slots__ = ("start", "end", "n", "clat", "clon", "flat", "flon", "llat", "llon", "hop", "inner", "cy", "cx", "kx", "part", "seq", "edge")
+    __slots__ = ("start", "end", "n", "lat", "lon", "llat", "llon", "hop", "inner")
 
     def __init__(self, ts: int, lat: float, lon: float, hop: float):
         self.start = self.end = ts
         self.n = 1
-        self.clat = self.flat = self.llat = lat
-        self.clon = self.flon = self.llon = lon
-        self.hop, self.inner, self.part, self.seq, self.edge = hop, 0.0, 0, 0, 0
-        self.cy = None
-
-    def cell(self, step: float) -> None:
-        self.kx = step / max(0.01, math.cos(math.radians(self.clat)))
-        self.cy, self.cx = math.floor(self.clat / step), math.floor(self.clon / self.kx)
+        self.lat = self.llat = lat
+        self.lon = self.llon = lon
+        self.hop, self.inner = hop, 0.0
 
     def holds(self, lat: float, lon: float, step: float, radius: float) -> bool:
         """Same or neighbouring cell, and within the radius of the centre."""
-        if self.cy is None:
-            self.cell(step)
-        if abs(math.floor(lat / step) - self.cy) > 1:
+        clat, clon = self.lat / self.n, self.lon / self.n
+        if abs(math.floor(lat / step) - math.floor(clat / step)) > 1:
             return False
-        turn = round((self.clon - lon) / 360)
-        if abs(math.floor((lon + 360 * turn) / self.kx) - self.cx) > 1:
+        wide = step / max(0.01, math.cos(math.radians(clat)))
+        lon += 360 * round((clon - lon) / 360)
+        if abs(math.floor(lon / wide) - math.floor(clon / wide)) > 1:
             return False
-        return _far(self.clat, self.clon, lat, lon) <= radius
+        return _far(clat, clon, lat, lon) <= radius
 
     def add(self, ts: int, lat: float, lon: float, path: float) -> None:
-        turn = 360 * round((self.clon - lon) / 360)
+        self.lon += lon + 360 * round((self.lon / self.n - lon) / 360)
+        self.lat += lat
         self.n += 1
-        self.clat += (lat - self.clat) / self.n
-        self.clon += (lon + turn - self.clon) / self.n
         self.end, self.llat, self.llon = ts, lat, lon
         self.inner += path
-        self.cy = None
-
-    def join(self, o: _Dwell, path: float) -> None:
-        turn = 360 * round((self.clon - o.clon) / 360)
-        self.clat = (self.clat * self.n + o.clat * o.n) / (self.n + o.n)
-        self.clon = (self.clon * self.n + (o.clon + turn) * o.n) / (self.n + o.n)
-        self.n += o.n
-        self.end, self.llat, self.llon = o.end, o.llat, o.llon
-        self.inner += path + o.inner
-        self.cy = None
-
-
-class _Device:
-    """Hysteresis over the pings of one device in one partition.
 
-    ``kept`` holds the stops and up to ``_EDGE`` other runs at either border; what lies between
-    is folded into the hop of the run that follows.
+    def add_all(self, ts: np.ndarray, lat: np.ndarray, lon: np.ndarray, step: float, radius: float) -> int:
+        """Add the pings up to the first that the run doesn't hold; gives their number.
+
+        The sums grow ping by ping as in ``add``, so that it is no matter how pings are cut.
+        """
+        turned = lon + 360 * np.round((self.lon / self.n - lon) / 360)
+        slat, slon = np.cumsum(np.append(self.lat, lat)), np.cumsum(np.append(self.lon, turned))
+        k = self.n + np.arange(len(lat))
+        clat, clon = slat[:-1] / k, slon[:-1] / k
+        wide = step / np.maximum(0.01, np.cos(np.radians(clat)))
+        held = (np.abs(np.floor(lat / step) - np.floor(clat / step)) <= 1) & (np.abs(np.floor(turned / wide) - np.floor(clon / wide)) <= 1) & (distance_np(clat, clon, lat, turned) <= radius)
+        m = len(lat) if held.all() else int(held.argmin())
+        if m:
+            self.lat, self.lon, self.n = float(slat[m]), float(slon[m]), self.n + m
+            self.inner += float(distance_np(np.append(self.llat, lat[: m - 1]), np.append(self.llon, lon[: m - 1]), lat[:m], lon[:m]).sum())
+            self.end, self.llat, self.llon = int(ts[m - 1]), float(lat[m - 1]), float(lon[m - 1])
+        return m
+
+
+class Places:
+    """Hysteresis over the pings of one device, in order.
+
+    ``closed`` takes (start, end, n, lat, lon, way) of every stop that ends, ``way`` the path since
+    the stop before; ``way`` here is the path of the runs closed since the last stop.
     """
 
-    def __init__(self, name: str, step: float, radius: float, least: int):
-        self.name, self.step, self.radius, self.least = name, step, radius, least
-        self.kept: list[_Dwell] = []
-        self.cur: _Dwell | None = None
+    def __init__(self, step: float, radius: float, least: int):
+        self.step, self.radius, self.least = step, radius, least
+        self.closed: list[tuple] = []
+        self.cur: Dwell | None = None
         self.away: tuple[int, float, float] | None = None
+        self.way = 0.0
 
     def ping(self, ts: int, lat: float, lon: float) -> None:
         cur = self.cur
         if cur is None:
-            self.cur = _Dwell(ts, lat, lon, 0.0)
+            self.cur = Dwell(ts, lat, lon, 0.0)
         elif cur.holds(lat, lon, self.step, self.radius):
             if self.away is None or cur.n > 1:
                 path = _far(cur.llat, cur.llon, lat, lon)
@@ -116,156 +126,196 @@ class _Device:
         else:
             t0, y0, x0 = self.away
             self.close()
-            self.cur = nxt = _Dwell(t0, y0, x0, _far(cur.llat, cur.llon, y0, x0))
-            self.away = None
-            if nxt.holds(lat, lon, self.step, self.radius):
-                nxt.add(ts, lat, lon, _far(y0, x0, lat, lon))
-            else:
-                self.away = (ts, lat, lon)
+            self.cur, self.away = Dwell(t0, y0, x0, _far(cur.llat, cur.llon, y0, x0)), None
+            self.ping(ts, lat, lon)
 
     def close(self) -> None:
-        self.kept.append(self.cur)
-        if len(self.kept) > 2 * _EDGE:
-            old, after = self.kept[-_EDGE - 1], self.kept[-_EDGE]
-            if old.end - old.start < self.least:
-                after.hop += old.hop + old.inner
-                del self.kept[-_EDGE - 1]
-
-    def finish(self, first: bool, last: bool) -> list[_Dwell]:
+        d = self.cur
+        if d.end - d.start >= self.least:
+            self.closed.append((d.start, d.end, d.n, d.lat / d.n, d.lon / d.n, self.way + d.hop))
+            self.way = 0.0
+        else:
+            self.way += d.hop + d.inner
+
+    def feed(self, ts: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> None:
+        """The same as ``ping`` one by one: pings at a place are taken in blocks, and of pings
+        that are each a turn only the last is left to look at."""
+        turn = turns(lat, lon, self.radius)
+        stretch = _run_lengths(turn)
+        hop = np.append(0.0, distance_np(lat[:-1], lon[:-1], lat[1:], lon[1:])) if len(lat) > 1 else np.zeros(len(lat))
+        i, n, block = 0, len(ts), 16
+        while i < n:
+            if stretch[i] > 2 and self.cur is not None and self.least > 0:
+                # runs of one ping each begin at i, i + 1, ...: the one before them ends here
+                if self.away is not None:
+                    t0, y0, x0 = self.away
+                    last = self.cur
+                    self.close()
+                    self.cur, self.away = Dwell(t0, y0, x0, _far(last.llat, last.llon, y0, x0)), None
+                self.close()
+                j = i + int(stretch[i]) - 1
+                self.way += float(hop[i:j].sum())
+                self.cur = Dwell(int(ts[j]), float(lat[j]), float(lon[j]), float(hop[j]))
+                i = j + 1
+                continue
+            if self.away is None and self.cur is not None and self.cur.n > 1:
+                m = self.cur.add_all(ts[i : i + block], lat[i : i + block], lon[i : i + block], self.step, self.radius)
+                block = min(4096, block * 2) if m == block else 16
+                i += m
+                if m:
+                    continue
+            self.ping(int(ts[i]), float(lat[i]), float(lon[i]))
+            i += 1
+
+    def finish(self) -> None:
         if self.cur is not None:
             self.close()
             if self.away is not None:
-                cur, (t0, y0, x0) = self.cur, self.away
-                self.cur = _Dwell(t0, y0, x0, _far(cur.llat, cur.llon, y0, x0))
+                last, (t0, y0, x0) = self.cur, self.away
+                self.cur = Dwell(t0, y0, x0, _far(last.llat, last.llon, y0, x0))
                 self.close()
-        rows, out, carry = self.kept, [], 0.0
-        for i, d in enumerate(rows):
-            d.seq = i
-            d.edge = (1 if first and i < _EDGE else 0) | (2 if last and i >= len(rows) - _EDGE else 0)
-            d.hop += carry
-            carry = 0.0
-            if d.edge or d.end - d.start >= self.least:
-                out.append(d)
-            else:
-                carry = d.hop + d.inner
-        return out
-
-
-def _batch(rows: list[tuple[str, _Dwell]]) -> pa.RecordBatch:
-    cols = [[r[0] for r in rows], *([getattr(r[1], c) for r in rows] for c in _COLS[1:])]
-    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(cols, _ARROW, strict=True)], schema=_ARROW)
-
-
-def _dwells(step: float, radius: float, least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        dev: _Device | None = None
-        first = True
-        for b in batches:
-            done: list[tuple[str, _Dwell]] = []
-            for name, ts, lat, lon in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                if dev is None or name != dev.name:
-                    if dev is not None:
-                        done += [(dev.name, d) for d in dev.finish(first, False)]
-                        first = False
-                    dev = _Device(name, step, radius, least)
-                dev.ping(ts, lat, lon)
-            for _, d in done:
-                d.part = part
-            if done:
-                yield _batch(done)
-        if dev is not None:
-            done = [(dev.name, d) for d in dev.finish(first, True)]
-            for _, d in done:
-                d.part = part
-            yield _batch(done)
-
-    return run
-
-
-def _from_row(r) -> _Dwell:
-    d = _Dwell(r.start, r.flat, r.flon, r.hop)
-    for c in ("end", "n", "clat", "clon", "llat", "llon", "inner", "part", "seq", "edge"):
-        setattr(d, c, getattr(r, c))
-    return d
-
-
-def _stitch_device(rows: list[_Dwell], step: float, radius: float) -> list[_Dwell]:
-    """Continue the hysteresis over the border runs of one device, in time order.
-
-    A place runs on over a border if the next part returns to it after at most one stray ping.
-    Runs that one partition has already told apart stay apart unless a border lies between.
-    """
-    out: list[_Dwell] = []
-    cur: _Dwell | None = None
-    away: _Dwell | None = None
-    last: _Dwell | None = None
-    crossed = False
-    for d in rows:
-        if last is not None and d.part != last.part:
-            d.hop += _far(last.llat, last.llon, d.flat, d.flon)
-            crossed = True
-        elif last is not None and d.edge & 2 and not last.edge & 2:
-            # head and tail runs of one part with folded runs between: nothing to continue here
-            out += [x for x in (cur, away) if x is not None]
-            cur = away = None
-            crossed = False
-        last = d
-        if cur is None:
-            cur = d
-        elif crossed and cur.holds(d.clat, d.clon, step, radius):
-            if away is None or cur.n > 1:
-                path = _far(cur.llat, cur.llon, d.flat, d.flon)
-            else:
-                path = _far(cur.llat, cur.llon, away.flat, away.flon) + _far(away.flat, away.flon, d.flat, d.flon)
-            cur.join(d, path)
-            away = None
-        elif away is None and d.n == 1:
-            away = d
-        else:
-            out.append(cur)
-            crossed = crossed and away is not None and away.part != d.part
-            if away is not None and crossed and away.holds(d.clat, d.clon, step, radius):
-                away.join(d, _far(away.llat, away.llon, d.flat, d.flon))
-                cur, away = away, None
-            else:
-                out += [away] if away is not None else []
-                cur, away = d, None
-            crossed = False
-    return out + [x for x in (cur, away) if x is not None]
-
-
-def _stitch(step: float, radius: float):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, rows = None, []
-
-        def flush():
-            done = [(name, d) for d in _stitch_device(rows, step, radius)]
-            for _, d in done:
-                d.edge = 0
-            return _batch(done).to_pandas()
-
-        for f in frames:
-            for r in f.itertuples(index=False):
-                if r.device_serial != name and rows:
-                    yield flush()
-                    rows = []
-                name = r.device_serial
-                rows.append(_from_row(r))
-        if rows:
-            yield flush()
+        self.cur = self.away = None
+
 
-    return run
+def turns(lat: np.ndarray, lon: np.ndarray, radius: float) -> np.ndarray:
+    """Pings at which a run begins whatever went before: it and its next lie beyond two radii of
+    both pings before. A run always holds one of the last two pings, and so can't go on."""
+    out = np.zeros(len(lat), bool)
+    if len(lat) > 3:
+        off = [distance_np(lat[:-k], lon[:-k], lat[k:], lon[k:]) > 2.02 * radius for k in (1, 2, 3)]
+        out[2:-1] = off[0][1:-1] & off[1][:-1] & off[1][1:] & off[2]
+    return out
+
+
+def _run_lengths(mask: np.ndarray) -> np.ndarray:
+    """At each true value, how many are true from there on."""
+    n = len(mask)
+    stop = np.where(mask, n, np.arange(n))
+    return np.minimum.accumulate(stop[::-1])[::-1] - np.arange(n)
+
+
+def _devices(b: pa.RecordBatch) -> Iterator[tuple[str, int, int]]:
+    """Device and rows of each stretch of a batch."""
+    dev = b.column(0).to_numpy(zero_copy_only=False)
+    cut = [0, *(np.flatnonzero(dev[1:] != dev[:-1]) + 1).tolist(), len(dev)] if len(dev) else [0]
+    for lo, hi in zip(cut, cut[1:], strict=False):
+        yield dev[lo], lo, hi
+
+
+class _Rows:
+    """Rows to give on, numbered in order."""
+
+    def __init__(self, part: int = 0):
+        self.part, self.seq, self.rows, self.blocks = part, 0, [], []
+
+    def put(self, name: str, kind: int, start: int, end: int, n: int, *floats: float, at: tuple | None = None, away: tuple | None = None) -> None:
+        part, seq = at or (self.part, self.seq)
+        self.seq += 1
+        self.rows.append((name, part, seq, kind, start, end, n, *floats, *[0.0] * (7 - len(floats)), *(away or (None, None, None))))
+
+    def stops(self, name: str, p: Places, at: tuple | None = None) -> None:
+        for start, end, n, lat, lon, way in p.closed:
+            self.put(name, STOP, start, end, n, lat, lon, 0.0, 0.0, 0.0, 0.0, way, at=at)
+        p.closed.clear()
+
+    def state(self, name: str, p: Places) -> None:
+        d = p.cur
+        self.put(name, STATE, d.start, d.end, d.n, d.lat, d.lon, d.llat, d.llon, d.hop, d.inner, p.way, away=p.away)
+
+    def pings(self, name: str, ts: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> None:
+        n, zero = len(ts), np.zeros(len(ts))
+        one = np.ones(n, np.int64)
+        none = pa.nulls(n, pa.int64()), *[pa.nulls(n, pa.float64())] * 2
+        cols = [pa.array([name] * n, pa.string()), pa.array(one * self.part, pa.int32()), self.seq + np.arange(n), pa.array(one * PING, pa.int32()), ts, ts, one, lat, lon, *[zero] * 5, *none]
+        self.seq += n
+        self.blocks.append(pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], schema=_ARROW))
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        blocks, rows, self.blocks, self.rows = self.blocks, self.rows, [], []
+        yield from blocks
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)], schema=_ARROW)
+
+
+def settle(part: int, batches: Iterable[pa.RecordBatch], step: float, radius: float, least: int) -> Iterator[pa.RecordBatch]:
+    """The stops of one range partition from its first turn on, and what its borders need."""
+    out = _Rows(part)
+    name, places, first = None, None, True
+    held = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]  # the last pings before the first turn
+    for b in batches:
+        cols = [b.column(k).to_numpy() for k in (1, 2, 3)]
+        for dev, lo, hi in _devices(b):
+            if name is None or dev != name:
+                if places is not None:
+                    places.finish()
+                    out.stops(name, places)
+                first = name is None
+                name, places = dev, None if first else Places(step, radius, least)
+            new = [c[lo:hi] for c in cols]
+            if places is None:
+                ts, lat, lon = (np.append(h, c) for h, c in zip(held, new, strict=True))
+                at = np.flatnonzero(turns(lat, lon, radius))
+                if not len(at):
+                    out.pings(name, *new)
+                    held = [ts[-3:], lat[-3:], lon[-3:]]
+                    continue
+                a = int(at[0])
+                out.pings(name, *(c[: a + 2 - len(held[0])] for c in new))
+                out.put(name, TURN, int(ts[a]), int(ts[a]), 0)
+                places = Places(step, radius, least)
+                places.cur = Dwell(int(ts[a]), float(lat[a]), float(lon[a]), _far(lat[a - 1], lon[a - 1], lat[a], lon[a]))
+                new = [c[a + 1 :] for c in (ts, lat, lon)]
+            places.feed(*new)
+            out.stops(name, places)
+        yield from out.take()
+    if places is not None:
+        out.state(name, places)
+    yield from out.take()
+
+
+def replay(batches: Iterable[pa.RecordBatch], step: float, radius: float, least: int) -> Iterator[pa.RecordBatch]:
+    """The stops across borders, from the rows of ``settle`` that aren't stops, by device in order."""
+    out = _Rows()
+    name, at, p = None, None, Places(step, radius, least)
+    for b in batches:
+        kind = b.column(3).to_numpy()
+        for dev, lo, hi in _devices(b):
+            if dev != name:
+                p.finish()
+                out.stops(name, p, at)
+                name, p = dev, Places(step, radius, least)
+            cut = [lo, *(np.flatnonzero((kind[lo + 1 : hi] != kind[lo : hi - 1]) | (kind[lo + 1 : hi] != PING)) + lo + 1).tolist(), hi]
+            for i, j in zip(cut, cut[1:], strict=False):
+                r = dict(zip(_ARROW.names, (c[0].as_py() for c in b.slice(i, 1).columns), strict=True))
+                at = (r["part"], r["seq"])
+                if r["kind"] == PING:
+                    p.feed(*(b.column(k).to_numpy()[i:j] for k in (4, 7, 8)))
+                elif r["kind"] == TURN:
+                    # the run that begins here is settled already
+                    out.put(name, WAY, r["start"], r["start"], 0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, p.way, at=at)
+                    p.cur = p.away = None
+                    p.way = 0.0
+                else:
+                    d = p.cur = Dwell(r["start"], r["lat"], r["lon"], r["hop"])
+                    d.end, d.n, d.llat, d.llon, d.inner = r["end"], r["n"], r["llat"], r["llon"], r["inner"]
+                    p.way = r["way"]
+                    p.away = None if r["ats"] is None else (r["ats"], r["alat"], r["alon"])
+                out.stops(name, p, at)
+        yield from out.take()
+    p.finish()
+    out.stops(name, p, at)
+    yield from out.take()
 
 
 def dwell_runs(telemetry: DataFrame, radius_m: float = 100.0, min_stop_minutes: float = 15.0) -> DataFrame:
-    """The stops of every device (and a few border runs), with the path between them."""
-    step = radius_m / _DEG_M
-    least = int(min_stop_minutes * 60e6)
-    local = materialize(device_track(telemetry).mapInArrow(_dwells(step, radius_m, least), _SCHEMA), "dwells")
-    order = ["device_serial", "start", "part", "seq"]
-    border = local.where("edge > 0").repartition("device_serial").sortWithinPartitions(*order).mapInPandas(_stitch(step, radius_m), _SCHEMA)
-    return local.where("edge = 0").unionByName(border)
+    """Rows of kind STOP for every stop of a device and of kind WAY for path between them.
+
+    ``lat`` and ``lon`` are a stop's centre, ``way`` the path since the row before by (part, seq).
+    """
+    rules = (radius_m / _DEG_M, radius_m, int(min_stop_minutes * 60e6))
+    local = materialize(device_track(telemetry).mapInArrow(lambda b: settle(TaskContext.get().partitionId(), b, *rules), _SCHEMA), "stops")
+    border = local.where(F.col("kind") != STOP).repartition("device_serial").sortWithinPartitions("device_serial", "part", "seq")
+    return local.where(F.col("kind") == STOP).unionByName(border.mapInArrow(lambda b: replay(b, *rules), _SCHEMA))
 
 
 def stops_and_trips(telemetry: DataFrame, radius_m: float = 100.0, min_stop_minutes: float = 15.0) -> DataFrame:
@@ -280,20 +330,16 @@ def stops_and_trips(telemetry: DataFrame, radius_m: float = 100.0, min_stop_minu
     0/0) are ignored; copies count once (see ``device_track``). Empty input gives no rows. Extra
     columns are ignored.
     """
-    least = int(min_stop_minutes * 60e6)
-    runs = dwell_runs(telemetry, radius_m, min_stop_minutes)
-    is_stop = F.col("end") - F.col("start") >= least
-    w = Window.partitionBy("device_serial").orderBy("start", "part", "seq")
-    along = runs.withColumn("stop", is_stop).withColumn("odo", F.sum(F.col("hop") + F.when(F.col("stop"), 0.0).otherwise(F.col("inner"))).over(w)).where("stop")
+    w = Window.partitionBy("device_serial").orderBy("part", "seq", "start")
+    along = dwell_runs(telemetry, radius_m, min_stop_minutes).withColumn("odo", F.sum("way").over(w)).where(F.col("kind") == STOP)
     prev = along.withColumn("p_end", F.lag("end").over(w)).withColumn("p_odo", F.lag("odo").over(w))
     row = lambda kind, a, b, dist, lat, lon, n: F.struct(F.lit(kind).alias("kind"), from_micros(a).alias("start_at"), from_micros(b).alias("end_at"), ((F.col(b) - F.col(a)) / 1e6).alias("duration_s"), dist.alias("distance_m"), lat.alias("latitude"), lon.alias("longitude"), n.alias("n_records"))
     none = F.lit(None)
-    stop = row("stop", "start", "end", none.cast("double"), F.col("clat"), F.col("clon"), F.col("n"))
+    stop = row("stop", "start", "end", none.cast("double"), F.col("lat"), F.col("lon"), F.col("n"))
     trip = F.when(F.col("p_end").isNotNull(), row("trip", "p_end", "start", F.col("odo") - F.col("p_odo"), none.cast("double"), none.cast("double"), none.cast("long")))
     return prev.select("device_serial", F.explode(F.array(stop, trip)).alias("r")).where("r is not null").select("device_serial", "r.*")
 
 
 def stops(telemetry: DataFrame, radius_m: float = 100.0, min_stop_minutes: float = 15.0) -> DataFrame:
     """Only the stops: device_serial, start_at, end_at."""
-    least = int(min_stop_minutes * 60e6)
-    return dwell_runs(telemetry, radius_m, min_stop_minutes).where(F.col("end") - F.col("start") >= least).select("device_serial", from_micros("start").alias("start_at"), from_micros("end").alias("end_at"))
+    return dwell_runs(telemetry, radius_m, min_stop_minutes).where(F.col("kind") == STOP).select("device_serial", from_micros("start").alias("start_at"), from_micros("end").alias("end_at"))
