@@ -2,8 +2,9 @@
 
 Method: every batch is appended to the retained raw events, the periods it touches are found,
 those periods are recomputed entirely from the retained raw events, and their partitions are
-replaced in one atomic commit. Records behind the cut-off stay in the raw events but no longer
-count.
+replaced in one atomic commit, until the cut-off. A record that arrived behind the cut-off of its
+hour is retained in the period's sealed part: it can't change a count any more, so it neither
+causes a recompute nor is read by one, and a period past its cut-off stays as it is.
 
 The storage period is the day of ``device_timestamp`` (of ``server_timestamp`` where that is
 null): a value that all copies of a record share, so a period can be recomputed without looking
@@ -18,9 +19,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayledger.operators.track import as_text
-from wayledger.session import scratch_path
+from wayledger.session import packed, scratch_path
 from wayledger.store import TableStore
 
+_SEALED = "~sealed"
 _RAW = ["device_serial", "device_timestamp", "server_timestamp", "message_type", "serial_count", "ingested_at", "tie"]
 
 
@@ -63,20 +65,37 @@ def one_per_copy(raw: DataFrame) -> DataFrame:
     return first.select(*key, "f.server_timestamp", "f.ingested_at").unionByName(raw.where("device_timestamp is null and tie is null").select(*key, "server_timestamp", "ingested_at"))
 
 
+def _hour(p: LatePolicy) -> Column:
+    return F.date_trunc("hour", event_time(p)).cast("timestamp_ntz")
+
+
+def _cut(hour: Column, p: LatePolicy) -> Column:
+    return hour + F.make_dt_interval(secs=F.lit(3600 + p.cut_off_s))
+
+
+def _seen() -> Column:
+    return F.col("ingested_at").cast("timestamp_ntz")
+
+
 def hourly(raw: DataFrame, p: LatePolicy) -> DataFrame:
-    """Counts by storage period, device and hour: as first published, as corrected, too late."""
-    seen = F.col("ingested_at").cast("timestamp_ntz")
-    hours = one_per_copy(raw).withColumn("period", _storage_period(p)).withColumn("hour_start", F.date_trunc("hour", event_time(p)).cast("timestamp_ntz")).where("hour_start is not null")
-    end = F.col("hour_start") + F.make_dt_interval(hours=F.lit(1))
-    pub, cut = end + F.make_dt_interval(secs=F.lit(p.publish_after_s)), end + F.make_dt_interval(secs=F.lit(p.cut_off_s))
+    """Counts by storage period, device and hour: as first published and as corrected."""
+    hours = one_per_copy(raw).withColumn("period", _storage_period(p)).withColumn("hour_start", _hour(p)).where("hour_start is not null")
+    pub = F.col("hour_start") + F.make_dt_interval(secs=F.lit(3600 + p.publish_after_s))
+    counts = _seen() <= _cut(F.col("hour_start"), p)
     return hours.groupBy("period", "device_serial", "hour_start").agg(
-        F.count_if(seen <= pub).alias("published_count"),
-        F.count_if(seen <= cut).alias("corrected_count"),
-        F.count_if((seen > cut) | seen.isNull()).alias("excluded_count"),
-        F.max(F.when(seen <= cut, F.col("ingested_at"))).alias("last_counted_at"),
+        F.count_if(_seen() <= pub).alias("published_count"),
+        F.count_if(counts).alias("corrected_count"),
+        F.max(F.when(counts, F.col("ingested_at"))).alias("last_counted_at"),
     )
 
 
+def too_late(raw: DataFrame, p: LatePolicy) -> DataFrame:
+    """(device_serial, hour_start, excluded_count): records of which no copy came in time."""
+    hours = one_per_copy(raw).withColumn("hour_start", _hour(p)).where("hour_start is not null")
+    late = ~F.coalesce(_seen() <= _cut(F.col("hour_start"), p), F.lit(False))
+    return hours.where(late).groupBy("device_serial", "hour_start").agg(F.count(F.lit(1)).alias("excluded_count"))
+
+
 class LateAggregates:
     """The retained raw events and the published aggregates, under ``path``."""
 
@@ -94,12 +113,14 @@ class LateAggregates:
         after a failure, changes no count of rows that have a device time or a row id.
         """
         p = self.policy
-        rows = batch.select(*[F.col(c) for c in _RAW[:-1]], F.when(F.col("row_id").isNotNull(), F.xxhash64("row_id")).alias("tie"), _storage_period(p).alias("period"))
+        in_time = F.coalesce(_seen() <= _cut(_hour(p), p), F.lit(False))
+        part = F.when(in_time, _storage_period(p)).otherwise(F.concat(_storage_period(p), F.lit(_SEALED)))
+        rows = batch.select(*[F.col(c) for c in _RAW[:-1]], F.col("row_id").alias("tie"), part.alias("period"))
         # one or a few files per period instead of one per task; AQE splits a period that is large
-        touched = self.raw.append(rows.hint("rebalance", "period"))
+        touched = [v for v in self.raw.append(rows.hint("rebalance", "period")) if not v.endswith(_SEALED)]
         if not touched:
             return []
-        out = hourly(self.raw.read(only=touched), p).hint("rebalance", "period")
+        out = hourly(packed(self.raw.read(only=touched)), p).hint("rebalance", "period")
         if self.published.exists():
             self.published.replace_partitions(out, touched)
         else:
@@ -107,13 +128,25 @@ class LateAggregates:
         self.raw.compact()
         return touched
 
-    def current(self) -> DataFrame:
-        """The aggregates as they stand; an hour may draw on several storage periods."""
+    def counted(self) -> DataFrame:
+        """The published and corrected counts as they stand; an hour may draw on several storage periods."""
         if not self.published.exists():
-            return self.spark.createDataFrame([], "device_serial string, hour_start timestamp_ntz, published_count long, corrected_count long, excluded_count long, last_counted_at timestamp")
-        sums = [F.sum(c).alias(c) for c in ("published_count", "corrected_count", "excluded_count")]
+            return self.spark.createDataFrame([], "device_serial string, hour_start timestamp_ntz, published_count long, corrected_count long, last_counted_at timestamp")
+        sums = [F.sum(c).alias(c) for c in ("published_count", "corrected_count")]
         return self.published.read().groupBy("device_serial", "hour_start").agg(*sums, F.max("last_counted_at").alias("last_counted_at"))
 
+    def current(self) -> DataFrame:
+        """The same with ``excluded_count``, told from the periods that have a sealed part."""
+        parts = set(self.raw.snapshot().parts) if self.raw.exists() else set()
+        sealed = {v for v in parts if v.endswith(_SEALED)}
+        out = self.counted().withColumn("excluded_count", F.lit(0).cast("long"))
+        if not sealed:
+            return out
+        raw = packed(self.raw.read(only=sorted(sealed | (parts & {v.removesuffix(_SEALED) for v in sealed}))))
+        late = too_late(raw, self.policy).select("device_serial", "hour_start", F.lit(0).alias("published_count"), F.lit(0).alias("corrected_count"), F.lit(None).cast("timestamp").alias("last_counted_at"), "excluded_count")
+        sums = [F.sum(c).alias(c) for c in ("published_count", "corrected_count", "excluded_count")]
+        return out.unionByName(late).groupBy("device_serial", "hour_start").agg(*sums, F.max("last_counted_at").alias("last_counted_at"))
+
 
 def replay(telemetry: DataFrame, batches: int = 3, policy: LatePolicy | None = None, path: str | None = None) -> LateAggregates:
     """Take a whole table through the operator in ``batches`` steps of arrival.
@@ -143,4 +176,4 @@ def replay(telemetry: DataFrame, batches: int = 3, policy: LatePolicy | None = N
 
 def corrected_hours(telemetry: DataFrame, policy: LatePolicy | None = None) -> DataFrame:
     """The device-hours whose published count was corrected before the cut-off."""
-    return replay(telemetry, policy=policy).current().where("corrected_count > published_count").select("device_serial", as_text("hour_start").alias("hour_start"))
+    return replay(telemetry, policy=policy).counted().where("corrected_count > published_count").select("device_serial", as_text("hour_start").alias("hour_start"))

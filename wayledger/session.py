@@ -98,6 +98,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, target: int = 64 << 20) -> DataFrame:
+    """The rows of a scan of many small files in fewer tasks, each of about ``target`` bytes of
+    files, but never fewer tasks than cores."""
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.coalesce(max(spark.sparkContext.defaultParallelism, -(-size // target)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of the data folder.
 
