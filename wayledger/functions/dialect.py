@@ -6,6 +6,8 @@ expressions inside whole-stage code.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,9 +16,14 @@ _LOOSE = r"\A\s*([0-9]{1,4})([-/\\ ])([0-9]{1,2})\2([0-9]{1,2})(?:(?: +|T)([0-9]
 _NUMBER = r"\A\s*\+?-?(?:(?:[0-9]+(?:_[0-9]+)*\.?(?:[0-9]+(?:_[0-9]+)*)?|\.[0-9]+(?:_[0-9]+)*)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\s*\z"
 
 
+# Unicode space separators, and white space of any kind.
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if unicodedata.category(c) == "Zs")
+_WHITE = _SPACES + "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u2028\u2029"
+
+
 def clean_text(c: Column) -> Column:
     """Without Unicode space separators around (tabs stay); blank is null."""
-    return F.nullif(F.regexp_replace(c.cast("string"), r"^\p{Zs}+|\p{Zs}+$", ""), F.lit(""))
+    return F.nullif(F.trim(c.cast("string"), F.lit(_SPACES)), F.lit(""))
 
 
 def try_timestamp(c: Column) -> Column:
@@ -28,19 +35,20 @@ def try_timestamp(c: Column) -> Column:
     Years beyond 1 to 9999, ``infinity`` and ``epoch`` are null.
     """
     quick = F.when(c.rlike(_CANONICAL) & ~c.startswith("0000"), F.replace(c, F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz"))
-    # a lambda binds the text once: the generated code stays small, and few rows come this way
-    return F.when(c.isNull(), None).otherwise(F.coalesce(quick, F.transform(F.array(c), _loose_timestamp)[0]))
+    # few rows come this way: the text is taken apart once, and a lambda binds its parts
+    parts = F.when(c.rlike(_LOOSE), F.split(F.regexp_replace(c, _LOOSE, "$1,$3,$4,$5,$6,$7,$8"), ","))
+    return F.when(c.isNull(), None).otherwise(F.coalesce(quick, F.transform(F.array(parts), _loose_timestamp)[0]))
 
 
-def _loose_timestamp(c: Column) -> Column:
-    g = lambda i: F.regexp_extract(c, _LOOSE, i)
-    num = lambda i: F.when(g(i) != "", g(i).cast("int")).otherwise(0)
-    hour, minute, sec = num(5), num(6), num(7)
-    frac = F.rpad(F.substring(g(8), 1, 6), 6, "0")
+def _loose_timestamp(parts: Column) -> Column:
+    """From year, month, day, hour, minute, second and fraction as text; absent ones are empty."""
+    num = lambda i: F.coalesce(parts[i].try_cast("int"), F.lit(0))
+    hour, minute, sec = num(3), num(4), num(5)
+    frac = F.rpad(F.substring(parts[6], 1, 6), 6, "0")
     seconds = F.concat(sec.cast("string"), F.lit("."), frac).cast("decimal(8,6)")
     midnight = (hour == 24) & (minute == 0) & (seconds == 0)
-    made = F.call_function("try_make_timestamp_ntz", num(1), num(3), num(4), F.when(midnight, 0).otherwise(hour), minute, seconds)
-    return F.when(c.rlike(_LOOSE) & (num(1) >= 1) & (sec < 60), F.when(midnight, made + F.make_dt_interval(days=F.lit(1))).otherwise(made))
+    made = F.call_function("try_make_timestamp_ntz", num(0), num(1), num(2), F.when(midnight, 0).otherwise(hour), minute, seconds)
+    return F.when((num(0) >= 1) & (sec < 60), F.when(midnight, made + F.make_dt_interval(days=F.lit(1))).otherwise(made))
 
 
 def try_double(c: Column) -> Column:
@@ -62,7 +70,7 @@ def full_match(c: Column, pattern: str) -> Column:
 
 def strip_all(c: Column) -> Column:
     """Without white space of any kind around."""
-    return F.regexp_replace(c, r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.trim(c, F.lit(_WHITE))
 
 
 def exact_mean(c: Column, digits: int, where: Column | None = None) -> Column:

@@ -1,7 +1,7 @@
 """The typed layer: normalised text, resolved identity, classes, typed tables.
 
-Everything is one lazy plan of column expressions; only identity maps need a shuffle, and those
-are aggregated to one row per key before it.
+The identity maps are built first, from a narrow scan of the identity reports, and written: one
+row per file. All else is one lazy plan of column expressions over one scan, without a shuffle.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wayledger.contracts import IDENTITY, RAW_NAMES, REJECTED, TELEMETRY, align
 from wayledger.functions.dialect import clean_text, full_match, strip_all, try_double, try_integer, try_timestamp
+from wayledger.session import SMALL_BYTES, materialize, plan_size
 
 # The legacy protocol, patterns of type and IMEI, and the reasons in their order.
 LEGACY_PROTOCOL = "V14.06.111"
@@ -109,19 +110,26 @@ def resolve_identity(normalized: DataFrame, history: DataFrame | None = None, co
 
     DIRECT: the row's own serial. LEGACY_IMEI: a legacy-protocol row of a valid type and time
     whose file tells one IMEI that tells one serial. Else UNRESOLVED. ``by_file`` gives the
-    files' serials; by default they come from the rows themselves and ``history``.
+    files' serials; by default they are taken from the identity reports among the rows, by a
+    narrow scan of their own, and from ``history``.
+
+    One row per file is broadcast where its written size is small; beyond that only the rows
+    that need help are shuffled to it.
     """
-    by_file = legacy_serials(normalized, history, compat) if by_file is None else by_file
+    by_file = materialize(legacy_serials(normalized, history, compat), "serials") if by_file is None else by_file
     by_file = by_file.select(F.col("file").alias("__file"), F.col("serial").alias("__serial"))
-    own = device_serial(F.col("device_serial_raw"))
     legacy = (F.col("protocol_version") == LEGACY_PROTOCOL) & full_match(F.col("message_type"), TYPE_PATTERN) & event_time().isNotNull()
+    need = F.when(F.col("__own").isNull() & F.coalesce(legacy, F.lit(False)), F.nullif(strip_all(F.col("source_file")), F.lit("")))
+    rows = normalized.withColumn("__own", device_serial(F.col("device_serial_raw")))
+    method = F.when(F.col("__own").isNotNull(), "DIRECT").when(F.col("__serial").isNotNull(), "LEGACY_IMEI").otherwise("UNRESOLVED")
+    out = [*normalized.columns, F.coalesce("__own", "__serial").alias("device_serial"), method.alias("device_resolution_method")]
+    if plan_size(by_file) <= SMALL_BYTES:
+        return rows.join(F.broadcast(by_file), need == F.col("__file"), "left").select(*out)
     # most rows carry their own serial: only those that need help are shuffled to the files' serials
-    need = F.when(own.isNull() & F.coalesce(legacy, F.lit(False)), F.nullif(strip_all(F.col("source_file")), F.lit("")))
-    cols = normalized.columns
-    alone = normalized.where(need.isNull()).select(*cols, own.alias("device_serial"), F.when(own.isNotNull(), "DIRECT").otherwise("UNRESOLVED").alias("device_resolution_method"))
-    helped = normalized.where(need.isNotNull()).withColumn("__need", need).join(by_file, F.col("__need") == F.col("__file"), "left")
-    method = F.when(F.col("__serial").isNotNull(), "LEGACY_IMEI").otherwise("UNRESOLVED")
-    return alone.unionByName(helped.select(*cols, F.col("__serial").alias("device_serial"), method.alias("device_resolution_method")))
+    rows = rows.withColumn("__need", need)
+    alone = rows.where("__need is null").withColumn("__serial", F.lit(None).cast("string"))
+    helped = rows.where("__need is not null").join(by_file, F.col("__need") == F.col("__file"), "left")
+    return alone.select(*out).unionByName(helped.select(*out))
 
 
 _EVIDENCE = ["message_type", "longitude_raw", "device_serial_raw", "source_file", "server_timestamp", "device_timestamp"]

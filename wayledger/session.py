@@ -98,12 +98,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Written tables up to this size are broadcast.
+SMALL_BYTES = 16 << 20
+
+
+def plan_size(df: DataFrame) -> int:
+    """Bytes that the optimiser knows of; for a scan of files that of the files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def packed(df: DataFrame, target: int = 64 << 20) -> DataFrame:
     """The rows of a scan of many small files in fewer tasks, each of about ``target`` bytes of
     files, but never fewer tasks than cores."""
-    spark = df.sparkSession
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.coalesce(max(spark.sparkContext.defaultParallelism, -(-size // target)))
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-plan_size(df) // target)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
