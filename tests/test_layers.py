@@ -62,9 +62,13 @@ def test_text(spark):
 
 def test_means_and_percentages(spark):
     df = spark.createDataFrame([(1.005,), (1.004,), (None,)], "v double")
-    assert df.select(dialect.exact_mean(F.col("v"), 2)).first()[0] == 1.0
-    assert df.where("false").select(dialect.exact_mean(F.col("v"), 2)).first()[0] is None
-    assert math.isnan(spark.createDataFrame([(float("nan"),), (1.0,)], "v double").select(dialect.exact_mean(F.col("v"), 2)).first()[0])
+    assert df.select(dialect.rounded_mean(F.col("v"), 2)).first()[0] == 1.0
+    assert df.where("false").select(dialect.rounded_mean(F.col("v"), 2)).first()[0] is None
+    assert math.isnan(spark.createDataFrame([(float("nan"),), (1.0,)], "v double").select(dialect.rounded_mean(F.col("v"), 2)).first()[0])
+    mean = lambda *xs: spark.createDataFrame([(x,) for x in xs], "v double").select(dialect.rounded_mean(F.col("v"), 3)).first()[0]
+    assert mean(1e25, 1.0, 3.0) == pytest.approx((1e25 + 4) / 3) and mean(4e-7, 2.0, None) == 1.0 and mean(5e-7, 1e300) == pytest.approx(5e299)
+    assert mean(0.0005) == 0.001 and mean(1.0, 1.001) == 1.001 and mean(-1.0, -1.001) == -1.001 and mean(float("inf"), 1.0) == float("inf")
+    assert mean(9e21, 9e21) == 9e21 and mean(0.3, 0.6, 0.9) == 0.6
     assert spark.range(1).select(dialect.percentage(F.lit(1), F.lit(3), 2), dialect.percentage(F.lit(1), F.lit(0), 2)).first() == (33.33, None)
 
 

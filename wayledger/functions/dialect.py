@@ -73,16 +73,19 @@ def strip_all(c: Column) -> Column:
     return F.trim(c, F.lit(_WHITE))
 
 
-def exact_mean(c: Column, digits: int, where: Column | None = None) -> Column:
-    """Mean rounded half up, from an exact decimal sum, so that no order of rows changes it.
+def rounded_mean(c: Column, digits: int, where: Column | None = None) -> Column:
+    """Mean of a double, rounded half up; nulls don't count, nor do rows outside ``where``.
 
-    Nulls don't count, nor do rows outside ``where``. With NaN or infinity it is the plain mean.
+    Where every value is a decimal of at most 22 and 6 places, the sum is exact, so that no order
+    of rows decides a mean that lies between two roundings; else, as with NaN, infinity, very
+    large or finer values, it is the plain mean.
     """
     v = c if where is None else F.when(where, c)
-    odd = F.isnan(v) | (F.abs(v) == float("inf"))
-    total = F.sum(v.try_cast("decimal(28,6)")).cast("double")
-    exact = F.round((total / F.nullif(F.count(v), F.lit(0))).try_cast("decimal(28,10)"), digits).cast("double")
-    return F.when(F.count_if(odd) > 0, F.avg(v)).otherwise(exact)
+    exact = v.try_cast("decimal(28,6)")
+    other = F.count_if(v.isNotNull() & ~F.coalesce(exact.cast("double") == v, F.lit(False)))
+    mean = F.try_divide(F.sum(exact).cast("double"), F.count(v))
+    rounded = F.coalesce(F.round(mean.try_cast("decimal(38,10)"), digits).cast("double"), F.round(mean, digits))
+    return F.when(other > 0, F.round(F.avg(v), digits)).otherwise(rounded)
 
 
 def percentage(part: Column, whole: Column, digits: int) -> Column:

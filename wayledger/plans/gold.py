@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayledger.contracts import DAILY_SUMMARY, DIM_DEVICE, LAST_POSITION, QUALITY_SUMMARY, ROUTE_POINTS, align
-from wayledger.functions.dialect import exact_mean, percentage
+from wayledger.functions.dialect import rounded_mean, percentage
 
 # From which speed a device moves; the reasons counted by the quality summary.
 MOVING_FROM = 5
@@ -118,11 +118,11 @@ def daily_summary(telemetry: DataFrame, dates: Sequence[str] | None = None, dedu
     moving = F.col("speed") >= MOVING_FROM
     times = F.col("event_timestamp")
     ends = lambda c, w=None: {f"first_{c}": _by_time(c, F.min_by, w), f"last_{c}": _by_time(c, F.max_by, w)}
-    spread = lambda c: {f"minimum_{c}": F.min(c), f"maximum_{c}": F.max(c), f"average_{c}": exact_mean(F.col(c), 3)}
+    spread = lambda c: {f"minimum_{c}": F.min(c), f"maximum_{c}": F.max(c), f"average_{c}": rounded_mean(F.col(c), 3)}
     aggs = {
         "first_event_at": F.min(times), "last_event_at": F.max(times), "message_count": F.count(F.lit(1)), "distinct_message_type_count": F.size(F.collect_set("message_type")).cast("long"),
         "valid_position_count": F.count_if(ok), "invalid_position_count": F.count_if(~ok), "low_gps_precision_count": F.count_if(F.col("position_quality") == "LOW_GPS_PRECISION"),
-        "moving_event_count": F.count_if(moving), "stopped_event_count": F.count_if(F.col("speed") < MOVING_FROM), "average_speed": exact_mean(F.col("speed"), 3), "average_speed_while_moving": exact_mean(F.col("speed"), 3, moving),
+        "moving_event_count": F.count_if(moving), "stopped_event_count": F.count_if(F.col("speed") < MOVING_FROM), "average_speed": rounded_mean(F.col("speed"), 3), "average_speed_while_moving": rounded_mean(F.col("speed"), 3, moving),
         "maximum_speed": F.max("speed"), **spread("hdop"), **spread("battery_voltage"), **spread("internal_battery"), **ends("odometer_total"),
         "first_valid_position_at": F.min(F.when(ok, times)), "last_valid_position_at": F.max(F.when(ok, times)), **ends("latitude", ok), **ends("longitude", ok),
     }

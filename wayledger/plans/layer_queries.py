@@ -164,8 +164,10 @@ ROUTE = f"""rp as (select strftime(event_timestamp, '%Y-%m-%d') event_date, devi
 
 
 def _mean(c: str, where: str = "") -> str:
+    # a billionth away from zero: else errors of the sum in doubles, which depend on the order of
+    # rows, decide means that lie exactly between two roundings
     f = f" filter (where {where})" if where else ""
-    return f"cast(round(cast(cast(sum(cast({c} as decimal(28,6))){f} as double) / nullif(count({c}){f}, 0) as decimal(28,10)), 3) as double)"
+    return f"round(avg({c}){f} + sign(avg({c}){f}) * 1e-9, 3)"
 
 
 def _end(c: str, fn: str, where: str = "true") -> str:
