@@ -17,6 +17,7 @@ from wayledger.plans.ingest import Bronze, control_event, row_id
 from wayledger.plans.modes import Gold, Silver, clean_ids
 from wayledger.plans.pipeline import format_result, run_pipeline
 from wayledger.plans.serve import QueryService, optional_date
+from wayledger.store import TableStore
 from wayledger.sources.csv_files import FileReport, detect_encoding, discover_csv_files, inspect_file, move_file, read_files
 
 BASE = {"TIPO_LOG": "tracker", "MESS_TYPE": "T2", "REPT_TYPE": "1", "PRT_VER": "1", "S/N ou IMEI": "M100", "BAT_VOLT": "12.5", "LOC_STATUS": "A", "LAT": "-3.7", "LONT": "-38.5", "SPEED": "45.5", "HDOP": "1.2", "ODO_TOTAL": "20000", "SER_COUNT": "15"}
@@ -145,6 +146,62 @@ def test_batches_left_by_a_crash_are_taken_along(spark, settings):
     assert {d["device_serial"] for d in QueryService(spark, settings).devices().items} == {"100", "7"}
 
 
+class Crash(BaseException):
+    """No handler of the code under test catches it."""
+
+
+def test_a_crash_at_any_commit_is_made_good_by_a_plain_rerun(spark, settings, monkeypatch):
+    """Run after run ends at its first, second, third ... commit, until one gets through."""
+    legacy = {"PRT_VER": "V14.06.111", "SN": ""}
+    write(settings.inbox, "a.csv", [line("2024-01-01"), line("2024-01-02", SN="M200"), line("2024-01-01", "13:00:00", **legacy)])
+    run_pipeline(spark, settings)
+    write(settings.inbox, "b.csv", [line("2024-01-01", "09:00:00", SPEED="3"), line("2024-01-09"), line("2024-01-09", MESS_TYPE="")])
+    write(settings.inbox, "a2.csv", [t1("2024-01-05", imei="350000000000009")])
+    publish, left, crashes = TableStore._publish, [0], 0
+
+    def crashing(self, snap):
+        left[0] -= 1
+        if left[0] < 0:
+            raise Crash
+        publish(self, snap)
+
+    monkeypatch.setattr(TableStore, "_publish", crashing)
+    for allowed in range(40):
+        left[0] = allowed
+        try:
+            run_pipeline(spark, settings)
+            break
+        except Crash:
+            crashes += 1
+    monkeypatch.undo()
+    assert crashes > 8
+    run_pipeline(spark, settings)
+    got = products(spark, settings)
+    assert {r[0] for r in got["daily_summary"]} == {"2024-01-01", "2024-01-02", "2024-01-09"}
+    assert Bronze(spark, settings).table.read().count() == 7 and list(settings.inbox.iterdir()) == []
+    assert run_pipeline(spark, settings).has_changes is False
+    run_pipeline(spark, settings, full=True)
+    assert products(spark, settings) == got
+
+
+def test_an_increment_reads_only_the_days_it_touches(spark, settings, monkeypatch):
+    write(settings.inbox, "a.csv", [line(f"2024-01-{d:02d}", SN=f"M{d}") for d in range(1, 13)])
+    run_pipeline(spark, settings)
+    write(settings.inbox, "b.csv", [line("2024-01-03", "13:00:00", SN="M3")])
+    read, seen = TableStore.read, []
+
+    def watching(self, only=None, snap=None):
+        df = read(self, only, snap)
+        seen.append((self.path.rsplit("/", 1)[1], {f.rsplit("__part=", 1)[1].split("/")[0] for f in df.inputFiles() if "__part=" in f}))
+        return df
+
+    monkeypatch.setattr(TableStore, "read", watching)
+    assert run_pipeline(spark, settings).gold.mode == "INCREMENTAL"
+    for name in ("telemetry_events", "device_identity_events", "rejected_logs"):
+        assert all(days <= {"2024-01-03"} for n, days in seen if n == name)
+    assert any(n == "telemetry_events" and days for n, days in seen)
+
+
 def test_queries_and_http(spark, settings):
     service = QueryService(spark, settings)
     assert answer(service, "/health") == (200, {"status": "ok"})

@@ -49,17 +49,17 @@ def dedup_telemetry(telemetry: DataFrame, by_day: bool = False) -> DataFrame:
     return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
-def dedup_identity(identity: DataFrame) -> DataFrame:
+def dedup_identity(identity: DataFrame, by_day: bool = False) -> DataFrame:
     """One row per device, time and identity values, chosen likewise."""
-    w = Window.partitionBy("device_serial", "event_timestamp", _key("imei"), _key("imsi"), _key("iccid")).orderBy(*_latest_first())
     rows = identity.where("device_serial is not null and event_timestamp is not null")
+    place = ["device_serial"]
+    if by_day:
+        rows = rows.withColumn("event_date", F.date_format("event_timestamp", "yyyy-MM-dd")).repartition("device_serial", "event_date")
+        place = ["device_serial", "event_date"]
+    w = Window.partitionBy(*place, "event_timestamp", _key("imei"), _key("imsi"), _key("iccid")).orderBy(*_latest_first())
     return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
-def _only_devices(df: DataFrame, devices: DataFrame | None) -> DataFrame:
-    return df if devices is None else df.join(devices.select("device_serial").distinct(), "device_serial", "left_semi")
-
-
 def _only_dates(df: DataFrame, dates: Sequence[str] | None, column: str = "event_date") -> DataFrame:
     return df if dates is None else df.where(F.col(column).isin(list(dates)))
 
@@ -70,19 +70,38 @@ def _by_time(value: str, pick=F.max_by, where: Column | None = None) -> Column:
     return pick(value, F.when(known, F.struct("event_timestamp", "row_id")))
 
 
-def dim_device(telemetry: DataFrame, identity: DataFrame, devices: DataFrame | None = None, deduped: bool = False) -> DataFrame:
-    """One row per device: latest known value of each identity field, and its activity.
+def _latest(value: str) -> Column:
+    """The last known value with its time and row, so that the latest of several can be told."""
+    return F.max(F.when(F.col(value).isNotNull(), F.struct("event_timestamp", "row_id", F.col(value).alias("value")))).alias(value)
 
-    The current values are each the latest non-null one, so they may come from several reports.
-    Both inputs are brought to one row per device before they meet.
-    """
-    i = dedup_identity(_only_devices(identity, devices)).groupBy("device_serial").agg(
-        F.min("event_timestamp").alias("first_identity_at"), F.max("event_timestamp").alias("last_identity_at"), F.count(F.lit(1)).alias("n_identity"),
-        *[_by_time(c).alias(f"current_{c}") for c in ("imei", "imsi", "iccid", "identity_auxiliary")], _by_time("protocol_version").alias("i_protocol"),
-        *[_by_time(f"has_valid_{c}_format").alias(f"current_{c}_format_valid") for c in ("imei", "imsi", "iccid")],
+
+_IDENTITY_VALUES = ("imei", "imsi", "iccid", "identity_auxiliary", "protocol_version", "has_valid_imei_format", "has_valid_imsi_format", "has_valid_iccid_format")
+
+
+def _span() -> list[Column]:
+    return [F.min("event_timestamp").alias("first_at"), F.max("event_timestamp").alias("last_at"), F.count(F.lit(1)).alias("n")]
+
+
+def identity_days(identity: DataFrame) -> DataFrame:
+    """What each device and day adds to the device dimension by its identity reports."""
+    return dedup_identity(identity, by_day=True).groupBy("event_date", "device_serial").agg(*_span(), *[_latest(c) for c in _IDENTITY_VALUES])
+
+
+def telemetry_days(telemetry: DataFrame, deduped: bool = False) -> DataFrame:
+    """What each device and day adds to the device dimension by its telemetry."""
+    base = telemetry if deduped else dedup_telemetry(telemetry, by_day=True)
+    return base.groupBy("event_date", "device_serial").agg(*_span(), _latest("protocol_version"))
+
+
+def dim_from_days(telemetry: DataFrame, identity: DataFrame) -> DataFrame:
+    """The device dimension from the states of days."""
+    value = lambda c: F.max(c)["value"]
+    i = identity.groupBy("device_serial").agg(
+        F.min("first_at").alias("first_identity_at"), F.max("last_at").alias("last_identity_at"), F.sum("n").alias("n_identity"), value("protocol_version").alias("i_protocol"),
+        *[value(c).alias(f"current_{c}") for c in ("imei", "imsi", "iccid", "identity_auxiliary")],
+        *[value(f"has_valid_{c}_format").alias(f"current_{c}_format_valid") for c in ("imei", "imsi", "iccid")],
     )
-    rows = _only_devices(telemetry, devices)
-    t = (rows if deduped else dedup_telemetry(rows)).groupBy("device_serial").agg(F.min("event_timestamp").alias("first_telemetry_at"), F.max("event_timestamp").alias("last_telemetry_at"), F.count(F.lit(1)).alias("n_telemetry"), _by_time("protocol_version").alias("t_protocol"))
+    t = telemetry.groupBy("device_serial").agg(F.min("first_at").alias("first_telemetry_at"), F.max("last_at").alias("last_telemetry_at"), F.sum("n").alias("n_telemetry"), value("protocol_version").alias("t_protocol"))
     j = i.join(t, "device_serial", "full_outer")
     n_i, n_t = F.coalesce("n_identity", F.lit(0)), F.coalesce("n_telemetry", F.lit(0))
     out = j.withColumns({
@@ -92,15 +111,43 @@ def dim_device(telemetry: DataFrame, identity: DataFrame, devices: DataFrame | N
     return align(out, DIM_DEVICE)
 
 
+def _only_devices(df: DataFrame, devices: DataFrame | None) -> DataFrame:
+    return df if devices is None else df.join(devices.select("device_serial").distinct(), "device_serial", "left_semi")
+
+
+def dim_device(telemetry: DataFrame, identity: DataFrame, devices: DataFrame | None = None) -> DataFrame:
+    """One row per device: latest known value of each identity field, and its activity.
+
+    The current values are each the latest non-null one, so they may come from several reports.
+    Rows are brought to one per device and day, then per device, before the two inputs meet.
+    """
+    return dim_from_days(telemetry_days(_only_devices(telemetry, devices)), identity_days(_only_devices(identity, devices)))
+
+
 def _positions(telemetry: DataFrame, by_day: bool, deduped: bool) -> DataFrame:
     """Deduplicated rows with coordinates that can be shown; 0/0 can't."""
     return (telemetry if deduped else dedup_telemetry(telemetry, by_day)).where("has_valid_coordinates and not (latitude = 0 and longitude = 0)")
 
 
-def last_position(telemetry: DataFrame, devices: DataFrame | None = None, deduped: bool = False) -> DataFrame:
-    w = Window.partitionBy("device_serial").orderBy(F.col("event_timestamp").desc(), F.col("server_timestamp").desc_nulls_last(), F.col("serial_count").desc_nulls_last(), "row_id")
-    last = _positions(_only_devices(telemetry, devices), False, deduped).withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
-    return align(last.withColumns({"last_position_date": F.date_format("event_timestamp", "yyyy-MM-dd"), "last_position_at": F.col("event_timestamp"), "received_at": F.col("server_timestamp")}), LAST_POSITION)
+def _last_of(positions: DataFrame, *keys: str) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(F.col("last_position_at").desc(), F.col("received_at").desc_nulls_last(), F.col("serial_count").desc_nulls_last(), "row_id")
+    return positions.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+
+
+def position_days(telemetry: DataFrame, deduped: bool = False) -> DataFrame:
+    """The last position of each device and day."""
+    p = _positions(telemetry, True, deduped).withColumns({"last_position_date": F.col("event_date"), "last_position_at": F.col("event_timestamp"), "received_at": F.col("server_timestamp")})
+    return _last_of(p, "device_serial", "event_date").select("event_date", *LAST_POSITION.names, "row_id")
+
+
+def last_from_days(positions: DataFrame) -> DataFrame:
+    """Last positions from those of days."""
+    return align(_last_of(positions, "device_serial"), LAST_POSITION)
+
+
+def last_position(telemetry: DataFrame, devices: DataFrame | None = None) -> DataFrame:
+    """The last position of each device that can be shown."""
+    return last_from_days(position_days(_only_devices(telemetry, devices)))
 
 
 def route_points(telemetry: DataFrame, dates: Sequence[str] | None = None, deduped: bool = False) -> DataFrame:

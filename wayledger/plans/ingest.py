@@ -178,16 +178,17 @@ class Bronze:
         """Insert-only by row id; gives the rows inserted by batch.
 
         Only bronze rows of the same file hashes can hold the same ids, so only those are read.
+        The rows become part of the table by the last step, when index and counts are known.
         """
         new = self.with_lineage(good, batch, at)
         if self.table.exists():
             old = self.table.read().where(F.col("source_file_hash").isin([r.sha256 for r in good]))
             new = insert_only(old, new)
-        ingest_day = utc(at).date().isoformat()
-        before = self.table.snapshot().parts.get(ingest_day, [])
-        self.table.append(new)
-        snap = self.table.snapshot()
-        fresh = self.table.read(only=[ingest_day], snap=type(snap)(snap.version, snap.schema, {ingest_day: [c for c in snap.parts.get(ingest_day, []) if c not in before]}, {}))
+        staged = self.table.stage(new)
+        fresh = self.table.staged_rows(staged)
         day = F.date_format(F.coalesce(try_timestamp(F.col("TM_STAMP")), try_timestamp(F.col("DATA_SERVIDOR"))), "yyyy-MM-dd")
+        # the index first: one that names rows which a crash kept out of the table does no harm
         self.days.append(fresh.select("ingestion_date", "batch_id", F.coalesce(day, F.lit("unknown")).alias("event_day")).distinct().coalesce(1))
-        return {r.batch_id: r["count"] for r in fresh.groupBy("batch_id").count().collect()}
+        counts = {r.batch_id: r["count"] for r in fresh.groupBy("batch_id").count().collect()}
+        self.table.publish(staged)
+        return counts

@@ -132,23 +132,38 @@ def resolve_identity(normalized: DataFrame, history: DataFrame | None = None, co
     return alone.select(*out).unionByName(helped.select(*out))
 
 
-_EVIDENCE = ["message_type", "longitude_raw", "device_serial_raw", "source_file", "server_timestamp", "device_timestamp"]
+def evidence(classified: DataFrame) -> DataFrame:
+    """(event_day, kind, file, imei, serial): what rows say of identity, and what was inferred, each
+    once per day and file.
+
+    ``report``: the IMEI and own serial of an identity report. ``legacy``: the serial that legacy
+    rows of the file resolve to, null for none. Incremental builds read this, not the tables.
+    """
+    file = F.nullif(strip_all(F.col("source_file")), F.lit(""))
+    open_row = (F.col("rejection_reason") == REASONS[3]) & (F.col("protocol_version") == LEGACY_PROTOCOL)
+    inferred = F.coalesce((F.col("device_resolution_method") == "LEGACY_IMEI") | open_row, F.lit(False))
+    report = F.coalesce(F.col("message_type") == "T1", F.lit(False))
+    entry = lambda cond, kind, imei, serial: F.when(cond, F.struct(F.lit(kind).alias("kind"), imei.alias("imei"), serial.alias("serial")))
+    entries = F.array_compact(F.array(entry(report, "report", valid_imei(F.col("longitude_raw")), device_serial(F.col("device_serial_raw"))), entry(inferred, "legacy", F.lit(None).cast("string"), F.col("device_serial"))))
+    rows = classified.where("event_timestamp is not null").select(_day().alias("event_day"), file.alias("file"), F.explode(entries).alias("e"))
+    return rows.select("event_day", "e.kind", "file", "e.imei", "e.serial").distinct()
+
+
+def reports(normalized: DataFrame) -> DataFrame:
+    """(file, imei, serial) of identity reports."""
+    t1 = normalized.where((F.col("message_type") == "T1") & event_time().isNotNull())
+    return t1.select(F.nullif(strip_all(F.col("source_file")), F.lit("")).alias("file"), valid_imei(F.col("longitude_raw")).alias("imei"), device_serial(F.col("device_serial_raw")).alias("serial"))
 
 
-def stored_evidence(identity: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Identity reports as the typed layer holds them, in the form ``legacy_serials`` reads."""
-    accepted = identity.withColumn("longitude_raw", F.col("imei")).select(*_EVIDENCE)
-    return accepted.unionByName(rejected.where(F.col("message_type") == "T1").select(*_EVIDENCE))
+def serials_of(reports: DataFrame) -> DataFrame:
+    """(file, serial) by all reports (file, imei, serial) at once."""
+    return unambiguous(reports, "file", "imei").join(unambiguous(reports, "imei", "serial"), "imei").select("file", "serial")
 
 
-def changed_days(by_file: DataFrame, telemetry: DataFrame, identity: DataFrame, rejected: DataFrame) -> DataFrame:
+def changed_days(by_file: DataFrame, legacy: DataFrame) -> DataFrame:
     """(event_day): days of stored legacy rows that would now resolve to something else."""
-    pick = lambda df: df.select("source_file", "device_serial", F.date_format("event_timestamp", "yyyy-MM-dd").alias("event_day"))
-    inferred = lambda df: pick(df.where(F.col("device_resolution_method") == "LEGACY_IMEI"))
-    open_rows = rejected.where((F.col("rejection_reason") == "MISSING_DEVICE_SERIAL") & (F.col("protocol_version") == LEGACY_PROTOCOL))
-    stored = inferred(telemetry).unionByName(inferred(identity)).unionByName(pick(open_rows)).distinct()
-    j = stored.withColumn("__need", F.nullif(strip_all(F.col("source_file")), F.lit(""))).join(by_file.select(F.col("file").alias("__file"), "serial"), F.col("__need") == F.col("__file"), "left")
-    return j.where(~F.col("serial").eqNullSafe(F.col("device_serial"))).select("event_day").distinct()
+    j = legacy.where("file is not null").join(by_file.select("file", F.col("serial").alias("now")), "file", "left")
+    return j.where(~F.col("serial").eqNullSafe(F.col("now"))).select("event_day").distinct()
 
 
 def classify(resolved: DataFrame) -> DataFrame:
