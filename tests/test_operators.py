@@ -357,6 +357,27 @@ def test_as_known(spark):
     assert asof.imei_at_event(e.where("false"), d).count() == 0 and asof.imei_at_event(e, d.where("false")).count() == 0
 
 
+def test_as_known_keeps_events_that_match_nothing(spark):
+    v = spark.createDataFrame([("a", t("2024-01-01 00:00"), "x"), ("a", t("2024-01-03 00:00"), "y")], "entity string, avail timestamp_ntz, value string")
+    e = spark.createDataFrame([("1", "a", t("2023-12-31")), ("2", "a", t("2024-01-01")), ("3", "a", t("2024-01-02 23:59")), ("4", "a", t("2024-01-03")), ("5", "b", t("2024-01-03")), ("6", None, t("2024-01-03")), ("7", "a", None), ("2", "a", t("2024-01-01"))], "id string, entity string, at timestamp_ntz")
+    want = [("1", None), ("2", "x"), ("2", "x"), ("3", "x"), ("4", "y"), ("5", None), ("6", None), ("7", None)]
+    for rows_per_bucket in (100_000, 1):
+        assert rows(asof.as_known(e, v, rows_per_bucket)) == want
+    assert rows(asof.as_known(e, v.where("false"))) == [(k, None) for k, _ in want]
+
+
+def test_a_hot_entity_and_day_are_cut_into_shares(spark):
+    """One entity has 90 % of the events, half of them on one day."""
+    hot = spark.range(9000).selectExpr("cast(id as string) id", "'h' entity", "case when id % 2 = 0 then timestamp_ntz '2024-05-05 00:00:00' + make_dt_interval(0, 0, 0, id) else timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(cast(id % 100 as int)) end at")
+    cold = spark.range(1000).selectExpr("cast(-id as string) id", "concat('c', id % 50) entity", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(cast(id % 100 as int)) at")
+    v = spark.range(100).selectExpr("'h' entity", "timestamp_ntz '2024-01-01 12:00:00' + make_dt_interval(cast(id as int)) avail", "cast(id as string) value")
+    events = hot.unionByName(cold)
+    got = asof.as_known(events, v, 200)
+    assert got.count() == 10_000
+    want = dict(rows(events.join(v, "entity", "left").where("at >= avail").groupBy("id").agg(F.max_by("value", "avail").alias("value"))))
+    assert {k: x for k, x in rows(got) if x is not None} == want
+
+
 def test_as_known_by_brute_force(spark):
     rnd = random.Random(3)
     base = t("2024-01-01")
