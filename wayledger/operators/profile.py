@@ -7,6 +7,7 @@ and loads are compared with all loads by population stability index and chi-squa
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -62,46 +63,72 @@ def _checked(counts: DataFrame, rules: ProfileRules, numeric: Sequence[str]) ->
     return counts.withColumn("num", num).withColumn("bad", F.col("value").isNotNull() & bad)
 
 
-def _medians(counts: DataFrame, keys: list[str], ranges: Mapping[str, tuple[float, float]]) -> DataFrame:
-    """Exact median of the values in range, from counts: the mean of the two middle ones.
+def _null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str], prefix: str):
+    """Whether the keys of two tables are the same, those of the second renamed with a prefix."""
+    same = F.lit(True)
+    for k in keys:
+        same = same & a[k].eqNullSafe(b[f"{prefix}{k}"])
+    return same
+
 
-    Values are ranked within 1024 bins of their column's range, after the bins' own totals, so
-    no task ranks all values of a column; a column without a range is one bin.
+def exact_quantiles(counts: DataFrame, keys: list[str], fractions: Sequence[float]) -> DataFrame:
+    """(keys, quantiles): exact quantiles of the values in range, from counts; the keys have column_name.
+
+    The quantile of a fraction f of n values is the one at place ceil(f n) in order, for an even n
+    and f of one half the mean of that and the next. Each column's values are put into bins between
+    approximate quantiles of its distinct values, and are ranked within the bins that hold a place
+    asked for, after the bins' own totals: no task ranks a whole column, and the bins
+    don't show in the result.
     """
-    bin_ = F.lit(0)
-    for c, (lo, hi) in ranges.items():
-        bin_ = F.when(F.col("column_name") == c, F.floor((F.col("num") - lo) / (hi - lo) * 1024)).otherwise(bin_)
     ok = counts.where("num is not null and not isnan(num) and not bad").groupBy(*keys, "num").agg(F.sum("n").alias("n"))
-    ok = ok.withColumn("bin", bin_)
+    edges = ok.groupBy("column_name").agg(F.percentile_approx("num", [i / 256 for i in range(1, 256)], 2000).alias("edges")).withColumnRenamed("column_name", "e_column")
+    ok = ok.join(edges, F.col("column_name") == F.col("e_column")).withColumn("bin", F.size(F.filter("edges", lambda x: x < F.col("num")))).drop("edges", "e_column")
     bins = ok.groupBy(*keys, "bin").agg(F.sum("n").alias("bin_n"))
     over = Window.partitionBy(*keys)
     bins = bins.withColumn("below", F.sum("bin_n").over(over.orderBy("bin")) - F.col("bin_n")).withColumn("all_n", F.sum("bin_n").over(over))
-    lo, hi = F.floor((F.col("all_n") + 1) / 2), F.floor((F.col("all_n") + 2) / 2)
-    middle = bins.where((F.col("below") < hi) & (F.col("below") + F.col("bin_n") >= lo)).withColumnsRenamed({k: f"m_{k}" for k in [*keys, "bin"]})
-    same = F.lit(True)
-    for k in [*keys, "bin"]:
-        same = same & ok[k].eqNullSafe(middle[f"m_{k}"])
+    place = lambda f: F.greatest(F.lit(1), F.ceil(F.lit(f) * F.col("all_n") - 1e-9))
+    places = [place(f) for f in fractions] + [F.floor((F.col("all_n") + 2) / 2)]  # the upper middle
+    asked = F.array(*places)
+    middle = bins.withColumn("asked", F.filter(asked, lambda k: (k > F.col("below")) & (k <= F.col("below") + F.col("bin_n")))).where(F.size("asked") > 0).drop("asked").withColumnsRenamed({k: f"m_{k}" for k in [*keys, "bin"]})
     upto = F.col("below") + F.sum("n").over(Window.partitionBy(*keys, "bin").orderBy("num"))
-    cum = ok.join(middle, same).withColumn("upto", upto)
-    at = lambda k: F.min(F.when(F.col("upto") >= k, F.col("num")))
-    return cum.groupBy(*keys).agg(((at(lo) + at(hi)) / 2).alias("median"))
+    cum = ok.join(middle, _null_safe(ok, middle, [*keys, "bin"], "m_")).withColumn("upto", upto)
+    at = [F.min(F.when(F.col("upto") >= k, F.col("num"))) for k in places]
+    values = [(a + at[-1]) / 2 if f == 0.5 else a for f, a in zip(fractions, at, strict=False)]
+    return cum.groupBy(*keys).agg(F.array(*values).alias("quantiles"))
+
+
+def drift_bins(counts: DataFrame, edges: DataFrame | None = None, widths: Mapping[str, tuple[float, float]] | None = None) -> DataFrame:
+    """(load, column_name, value, n): counts of bins instead of values, nulls left out.
+
+    Texts are their own bins. Numbers are binned by ``widths`` (start and width by column), else by
+    ``edges`` (column_name, quantiles of all loads): the number of edges below the value.
+    """
+    rows = counts.where("value is not null")
+    if widths is not None:
+        bin_ = F.col("value")
+        for c, (lo, w) in widths.items():
+            bin_ = F.when(F.col("column_name") == c, F.floor((F.col("num") - lo) / w).cast("string")).otherwise(bin_)
+    else:
+        rows = rows.join(edges.select(F.col("column_name").alias("e_column"), "quantiles"), F.col("column_name") == F.col("e_column"), "left")
+        number = F.size(F.filter("quantiles", lambda x: x < F.col("num"))).cast("string")
+        bin_ = F.when(F.col("quantiles").isNull() | F.col("num").isNull(), F.col("value")).when(F.isnan("num"), "NaN").otherwise(number)
+    return rows.select("load", "column_name", bin_.alias("value"), "n").groupBy("load", "column_name", "value").agg(F.sum("n").alias("n"))
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, load: str = "batch_id", rules: ProfileRules | None = None) -> DataFrame:
     """One row per load and column.
 
     n_rows, n_null, null_rate, n_distinct, min/max (as text), min/max/mean as number, top value
-    and its share, n_bad (range or pattern violations), psi and chi_square against all loads.
+    and its share, n_bad (range or pattern violations), psi and chi_square against all loads, of
+    texts by value and of numbers by the deciles of all loads' values in range.
     Columns without any value have zero distincts and null ranges; an empty table has no rows.
     """
     rules = rules or ProfileRules()
     columns = list(columns or [c for c in df.columns if c != load])
     numeric = [f.name for f in df.schema if f.name in columns and isinstance(f.dataType, T.NumericType)]
     counts = materialize(_checked(value_counts(df, columns, load), rules, numeric), "counts")
-    all_loads = Window.partitionBy("column_name", "value")
-    whole = counts.withColumn("n_all", F.sum("n").over(all_loads))
     known = F.col("value").isNotNull()
-    base = whole.groupBy("load", "column_name").agg(
+    base = counts.groupBy("load", "column_name").agg(
         F.sum("n").alias("n_rows"),
         F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("n_null"),
         F.count_if(known).alias("n_distinct"),
@@ -113,7 +140,8 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, load: st
         F.max(F.when(known, F.struct("n", "value"))).alias("top"),
         F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("n_bad"),
     )
-    drift = compare_loads(whole)
+    deciles = exact_quantiles(counts, ["column_name"], [i / 10 for i in range(1, 10)])
+    drift = compare_loads(drift_bins(counts, deciles))
     share = F.col("n_null") / F.col("n_rows")
     return base.join(drift, (base.column_name == drift.d_column) & base["load"].eqNullSafe(drift.d_load), "left").select(
         F.col("load").alias("batch_id"), "column_name", "n_rows", "n_null", share.alias("null_rate"), "n_distinct", "min_text", "max_text", "min_number", "max_number", "mean_number",
@@ -121,18 +149,19 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, load: st
     )
 
 
-def compare_loads(whole: DataFrame) -> DataFrame:
-    """PSI and chi-square of each load's values against those of all loads.
+def compare_loads(counts: DataFrame) -> DataFrame:
+    """PSI and chi-square of each load's bins against those of all loads.
 
-    ``whole`` has load, column_name, value, n and n_all. Values that a load lacks enter through
-    the remainder: their expected counts add to chi-square, and to PSI with a share of one in a
-    million.
+    ``counts`` has load, column_name, value (a bin, never null) and n. Bins that a load lacks enter
+    through the remainder: their expected counts add to chi-square, and to PSI with a share of
+    one in a million for all of them.
     """
     eps = 1e-6
-    totals = whole.where("value is not null").groupBy("load", "column_name").agg(F.sum("n").alias("load_n"))
+    by_bin = counts.groupBy("column_name", "value").agg(F.sum("n").alias("n_all"))
+    totals = counts.groupBy("load", "column_name").agg(F.sum("n").alias("load_n"))
     sums = totals.groupBy("column_name").agg(F.sum("load_n").alias("col_n"))
     t = totals.join(sums, "column_name").select(F.col("load").alias("t_load"), F.col("column_name").alias("t_col"), "load_n", "col_n")
-    v = whole.where("value is not null")
+    v = counts.join(by_bin, ["column_name", "value"])
     j = v.join(t, (v.column_name == t.t_col) & v["load"].eqNullSafe(t.t_load))
     p, q = F.col("n") / F.col("load_n"), F.col("n_all") / F.col("col_n")
     e = F.col("n_all") * F.col("load_n") / F.col("col_n")
@@ -142,11 +171,23 @@ def compare_loads(whole: DataFrame) -> DataFrame:
     return g.select(F.col("t_load").alias("d_load"), F.col("t_col").alias("d_column"), psi.alias("psi"), (F.col("chi_seen") + rest * F.col("ln")).alias("chi_square"))
 
 
+def least_psi(gap: float) -> float:
+    """The least PSI of two distributions in which some value's shares differ by ``gap``.
+
+    Merging all other values never adds to PSI, and of two values it is least about one half.
+    """
+    return gap * math.log(((1 + gap) / (1 - gap)) ** 2) if gap < 1 else math.inf
+
+
 def load_findings(df: DataFrame, columns: Sequence[str] = ("latitude", "rx_level", "protocol_version"), load: str = "batch_id", rules: ProfileRules | None = None) -> DataFrame:
     """(batch_id, column_name, finding): the loads in which a column went wrong.
 
     null_rate, out_of_range, pattern, constant and distribution, as ``ProfileRules`` bounds them,
     each judged on the exact value counts. A load of only nulls can only have null_rate.
+
+    ``distribution`` goes by PSI and chi-square of the load against all loads, and then by the exact
+    bound: a share can only differ by the bound where PSI is at least ``least_psi`` of it, and a
+    median only where chi-square over bins as wide as the bound isn't zero.
     """
     r = rules or ProfileRules()
     numeric = [f.name for f in df.schema if f.name in columns and isinstance(f.dataType, T.NumericType)]
@@ -171,25 +212,35 @@ def load_findings(df: DataFrame, columns: Sequence[str] = ("latitude", "rx_level
             )
         ).alias("finding"),
     )
+    widths = {k: (r.ranges.get(k, (0.0, 0.0))[0], b) for k, b in r.medians.items()}
+    judged = counts.where(c.isin(*r.shares, *r.medians) & known & ~(c.isin(*r.medians) & (F.col("bad") | F.col("num").isNull())))
+    drift = materialize(compare_loads(drift_bins(judged, widths=widths)), "drift")
+    bound = F.lit(None).cast("double")
+    for k, b in r.shares.items():
+        bound = F.when(F.col("d_column") == k, F.lit(least_psi(b) - 1e-3)).otherwise(bound)
+    suspects = drift.where(F.when(F.col("d_column").isin(*r.medians), F.col("chi_square") > 1e-9).otherwise(F.col("psi") >= bound)).select("d_load", "d_column")
+    of_suspects = lambda df: df.join(suspects, df["load"].eqNullSafe(suspects.d_load) & (df.column_name == suspects.d_column), "left_semi")
     # medians
     mc = counts.where(c.isin(*r.medians))
-    whole = _medians(mc, ["column_name"], r.ranges).select(F.col("column_name").alias("w_col"), F.col("median").alias("w_med"))
+    median = lambda df, keys: exact_quantiles(df, keys, [0.5]).withColumn("median", F.col("quantiles")[0])
+    whole = median(mc, ["column_name"]).select(F.col("column_name").alias("w_col"), F.col("median").alias("w_med"))
     bound = F.lit(None).cast("double")
     for k, b in r.medians.items():
         bound = F.when(c == k, F.lit(b)).otherwise(bound)
-    med = _medians(mc, ["load", "column_name"], r.ranges).join(whole, c == F.col("w_col")).where(F.abs(F.col("median") - F.col("w_med")) > bound).select("load", "column_name")
+    med = median(of_suspects(mc), ["load", "column_name"]).join(whole, c == F.col("w_col")).where(F.abs(F.col("median") - F.col("w_med")) > bound).select("load", "column_name")
     # shares: also of values that a load lacks, hence loads x values of a column
     sc = counts.where(c.isin(*r.shares) & known)
     col_n = sc.groupBy("column_name").agg(F.sum("n").alias("col_n"))
     val_q = sc.groupBy("column_name", "value").agg(F.sum("n").alias("val_n")).join(col_n, "column_name").select("column_name", "value", (F.col("val_n") / F.col("col_n")).alias("q"))
     load_n = sc.groupBy("load", "column_name").agg(F.sum("n").alias("load_n")).withColumnsRenamed({"load": "l_load", "column_name": "l_col"})
-    s = sc.join(val_q, ["column_name", "value"]).join(load_n, sc["load"].eqNullSafe(F.col("l_load")) & (F.col("column_name") == F.col("l_col"))).withColumn("p", F.col("n") / F.col("load_n"))
+    common = val_q
+    s = of_suspects(sc).join(val_q, ["column_name", "value"]).join(load_n, sc["load"].eqNullSafe(F.col("l_load")) & (F.col("column_name") == F.col("l_col"))).withColumn("p", F.col("n") / F.col("load_n"))
     least = F.lit(None).cast("double")
     for k, b in r.shares.items():
         least = F.when(c == k, F.lit(b)).otherwise(least)
     off = s.where(F.abs(F.col("p") - F.col("q")) > least).select("load", "column_name")
     # a value with more than the bound of all loads is at most one per column; loads without it differ too
-    common = s.where(F.col("q") > least).select("column_name", "value").distinct()
+    common = common.where(F.col("q") > least).select("column_name", "value")
     have = s.join(common, ["column_name", "value"], "left_semi").select("load", "column_name", "value").withColumnsRenamed({"load": "h_load", "column_name": "h_col", "value": "h_val"})
     loads = s.select("load", "column_name").distinct().join(common, "column_name")
     lack = loads.join(have, loads["load"].eqNullSafe(have.h_load) & (loads.column_name == have.h_col) & (loads.value == have.h_val), "left_anti").select("load", "column_name")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wayledger.contracts import SOURCE_COLUMNS
 from wayledger.operators import asof, bad_rows, history, late_events, profile, trips
@@ -58,6 +59,15 @@ def p6_counts(spark: SparkSession, d: str) -> DataFrame:
     return profile.column_profile(table(spark, d, "telemetry_events")).select("batch_id", "column_name", "n_rows", "n_null", "n_distinct")
 
 
+# Columns whose drift has SQL of its own: numbers with and without a range, and texts.
+_DRIFT = {"latitude": "num not between -90 and 90", "rx_level": "num not between -120 and -30", "speed": "false", "hdop": "false", "battery_voltage": "false", "protocol_version": None, "message_type": None, "location_status": None}
+
+
+def p6_drift(spark: SparkSession, d: str) -> DataFrame:
+    p = profile.column_profile(table(spark, d, "telemetry_events"), list(_DRIFT))
+    return p.select("batch_id", "column_name", "n_bad", F.round("psi", 6).alias("psi"), F.round("chi_square", 4).alias("chi_square"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return asof.imei_at_event(table(spark, d, "telemetry_events"), table(spark, d, "device_identity_events"))
 
@@ -66,7 +76,7 @@ def p7_known(spark: SparkSession, d: str) -> DataFrame:
     return asof.imei_at_event(table(spark, d, "telemetry_events"), table(spark, d, "device_identity_events"), only_changed=False)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_hours, p2_found, p2_history, p4_found, p4_trips, p5_found, p5_valid, p6_found, p6_profile, p6_counts, p7_found, p7_known)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_hours, p2_found, p2_history, p4_found, p4_trips, p5_found, p5_valid, p6_found, p6_profile, p6_counts, p6_drift, p7_found, p7_known)}
 
 _HOURS = """with k as (select *, row_number() over (partition by device_serial, device_timestamp, message_type, serial_count, case when device_timestamp is null then row_id end order by ingested_at, row_id) rn from telemetry_events),
 e as (select device_serial, date_trunc('hour', case when device_timestamp is null or device_timestamp > server_timestamp + interval 10 minute or device_timestamp < timestamp '2010-01-01' then server_timestamp else device_timestamp end) h, (ingested_at at time zone 'UTC') i from k where rn = 1)
@@ -88,6 +98,24 @@ vc as (select batch_id, column_name, v, count(*) n from c where v is not null an
 va as (select column_name, v, count(*) n from c where v is not null and column_name = 'protocol_version' group by 1, 2)
 """
 
+_DRIFT_SQL = (
+    "with c as ("
+    + " union all ".join(f"select batch_id, '{c}' column_name, cast({c} as varchar) v, {c if bad else 'cast(null as double)'} num from telemetry_events" for c, bad in _DRIFT.items())
+    + "), b as (select *, v is not null and coalesce(case "
+    + " ".join(f"when column_name = '{c}' then {bad}" for c, bad in _DRIFT.items() if bad)
+    + """ when column_name = 'protocol_version' then not regexp_full_match(v, 'V[0-9]{2}\\.[0-9]{2}\\.[0-9]{3}') end, false) bad from c),
+ranked as (select column_name, num, row_number() over (partition by column_name order by num) r, count(*) over (partition by column_name) n from b where num is not null and not isnan(num) and not bad),
+edges as (select column_name, i, min(num) edge from ranked, (select unnest(range(1, 10)) i) where r = greatest(1, ceil(i / 10.0 * n - 1e-9)) group by column_name, i),
+binned as (select batch_id, column_name, case when num is null then v when isnan(num) then 'NaN' else cast((select count(*) from edges e where e.column_name = b.column_name and e.edge < b.num) as varchar) end bin from b where v is not null),
+seen as (select batch_id, column_name, bin, count(*) n from binned group by 1, 2, 3),
+loads as (select batch_id, column_name, sum(n) load_n from seen group by 1, 2),
+alls as (select column_name, bin, sum(n) n_all, sum(sum(n)) over (partition by column_name) col_n from seen group by 1, 2),
+grid as (select l.batch_id, l.column_name, load_n, coalesce(s.n, 0) n, n_all * 1.0 / col_n q from loads l join alls a using (column_name) left join seen s on s.batch_id is not distinct from l.batch_id and s.column_name = l.column_name and s.bin = a.bin),
+found as (select batch_id, column_name, sum((n - q * load_n) * (n - q * load_n) / (q * load_n)) chi, sum(case when n > 0 then (n * 1.0 / load_n - q) * ln(n * 1.0 / load_n / q) else 0 end) psi, sum(case when n > 0 then 0 else q end) rest from grid group by 1, 2),
+every as (select batch_id, column_name, count(*) filter (where bad) n_bad from b group by 1, 2)
+select e.batch_id, e.column_name, n_bad, coalesce(round(psi + case when rest > 1e-6 then (1e-6 - rest) * ln(1e-6 / rest) else 0 end, 6), 0) psi, coalesce(round(chi, 4), 0) chi_square from every e left join found f on f.batch_id is not distinct from e.batch_id and f.column_name = e.column_name"""
+)
+
 _TELEMETRY_COLUMNS = (
     "event_date server_timestamp device_timestamp event_timestamp log_type message_type report_type protocol_version device_serial device_resolution_method terminal_status battery_voltage location_status "
     "latitude longitude speed direction_degrees internal_battery odometer_trip odometer_total horimeter hdop mcc mnc lac cell_id rx_level serial_count transmission_technology message_group io_status "
@@ -118,6 +146,7 @@ union all select batch_id, column_name, 'pattern' from k where pat > 0.06 * m
 union all select batch_id, column_name, 'constant' from k where column_name = 'rx_level' and (select max(n) from vc where vc.batch_id = k.batch_id and vc.column_name = 'rx_level') > 0.5 * m
 union all select batch_id, column_name, 'distribution' from k join w using (column_name) where column_name = 'rx_level' and abs(k.med - w.med) > 10
 union all select distinct k.batch_id, k.column_name, 'distribution' from k join w using (column_name) join va using (column_name) left join vc on vc.batch_id = k.batch_id and vc.column_name = k.column_name and vc.v = va.v where k.column_name = 'protocol_version' and k.m > 0 and abs(coalesce(vc.n, 0) * 1.0 / k.m - va.n * 1.0 / w.m) > 0.5""",
+    "p6_drift": _DRIFT_SQL,
     "p6_counts": " union all ".join(f"select batch_id, '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as n_null, count(distinct {c}) as n_distinct from telemetry_events group by batch_id" for c in _TELEMETRY_COLUMNS),
     "p7_found": _known(" where e.device_serial in (select device_serial from v group by 1 having count(distinct a) > 1)"),
     "p7_known": _known(""),
