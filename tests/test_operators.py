@@ -16,6 +16,7 @@ from wayledger.contracts import SOURCE_COLUMNS
 from wayledger.functions.geo import distance_np
 from wayledger.operators import asof, bad_rows, history, late_events, profile, trips
 from wayledger.operators.track import device_track
+from wayledger.store import changed_parts
 
 CLASH = "1 as part, 'x' as seq, 2 as rn, 3 as tie, 4 as period, 5 as bucket, 6 as load, 7 as value, 8 as n, 9 as alone, 10 as at, 11 as entity, 12 as hour_start, 13 as seen"
 
@@ -131,6 +132,12 @@ def test_history_store_takes_late_reports_and_tells_the_past(spark, tmp_path):
     for k in range(3):
         assert store.update(part(k))
     assert store.update(reports.where("false")) == []
+    # a late report of one entity leaves the periods without reports of it as they are
+    before = store.versions.snapshot()
+    late = reports.where("entity = 'D1'").limit(1)
+    first = late.select(history._period(7)).first()[0]
+    own = {str(r.period) for r in reports.where("entity = 'D1'").select(history._period(7)).distinct().collect() if r.period >= first}
+    assert {str(x) for x in store.update(late)} == own == changed_parts(before, store.versions.snapshot())
     h = history.attribute_history(reports, ["imei", "iccid"])
     assert rows(store.history()) == rows(h)
     assert rows(history.attribute_history(reports.where("false"), ["imei", "iccid"])) == []

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayledger.operators.track import as_text
-from wayledger.session import scratch_path
+from wayledger.session import SMALL_BYTES, materialize, plan_size, scratch_path
 from wayledger.store import TableStore
 
 _BEFORE = -(1 << 62)
@@ -95,45 +95,73 @@ def fold(cp: DataFrame, deltas: DataFrame, attributes: Sequence[str]) -> DataFra
 
 
 class HistoryStore:
-    """Reports, checkpoints and patches of entities under ``path``, all by period."""
+    """Reports, and their checkpoints and patches, of entities under ``path``, by period.
+
+    Checkpoints and patches are rows of one table, so that a build is one commit.
+    """
 
     def __init__(self, spark: SparkSession, path: str, attributes: Sequence[str], days: int = 7):
         self.attributes, self.days = list(attributes), days
-        self.reports, self.checkpoints, self.patches = (TableStore(spark, f"{path}/{t}", "period") for t in ("reports", "checkpoints", "patches"))
+        self.reports, self.versions = (TableStore(spark, f"{path}/{t}", "period") for t in ("reports", "versions"))
 
     def update(self, reports: DataFrame) -> list[int]:
         """Take in reports, late ones too; gives the periods that were built anew.
 
-        Periods before the first that the reports fall on stay as they are. From there on,
-        checkpoints and patches are built from the stored reports and what stood before, and are
-        replaced at once each. No reports change nothing.
+        Only the entities that have new reports are built anew, each from the first period that its
+        new reports fall on, and only in the periods in which it has reports: elsewhere nothing of
+        it is stored. Rows of other entities in those periods are carried over as they are. No
+        reports change nothing.
         """
         rows = reports.select("entity", "at", "tie", *self.attributes, _period(self.days).cast("string").alias("period"))
-        touched = [int(v) for v in self.reports.append(rows.hint("rebalance", "period"))]
+        staged = self.reports.stage(rows.hint("rebalance", "period"))
+        fresh = self.reports.staged_rows(staged).select("entity", F.col("period").cast("long").alias("period"))
+        since = materialize(fresh.groupBy("entity").agg(F.min("period").alias("since")), "since")
+        # the reports are a part of the table before they are built on; applied again after a crash
+        # in between, they are repeats, which set nothing
+        touched = [int(v) for v in self.reports.publish(staged)]
         if not touched:
             return []
         self.reports.compact()
         names = sorted((v for v in self.reports.snapshot().parts if int(v) >= min(touched)), key=int)
-        kept = self.reports.read(only=names).drop("period")
-        base = self._standing(min(touched))
-        for store, build in ((self.checkpoints, lambda: checkpoints(kept, self.attributes, self.days, base)), (self.patches, lambda: patches(kept, self._read(self.checkpoints, names), self.attributes, self.days))):
-            out = build().withColumn("period", F.col("period").cast("string")).hint("rebalance", "period")
-            if store.exists():
-                store.replace_partitions(out, names)
-            else:
-                store.overwrite(out)
-        return sorted(map(int, names))
-
-    def _read(self, store: TableStore, names: list[str] | None = None) -> DataFrame:
-        return store.read(only=names).withColumn("period", F.col("period").cast("long"))
-
-    def _standing(self, before: int | None = None, at: Column | None = None) -> DataFrame | None:
-        """(entity, each attribute): what stood at a time, folded from the nearest checkpoint."""
-        if not self.checkpoints.exists():
+        small = F.broadcast(since) if plan_size(since) <= SMALL_BYTES else since
+        stored = self.reports.read(only=names).withColumn("period", F.col("period").cast("long"))
+        kept = materialize(stored.join(small, "entity").where("period >= since").drop("since"), "reports")
+        affected = sorted((str(r.period) for r in kept.select("period").distinct().collect()), key=int)
+        kept = kept.drop("period")
+        base = self._standing(since=since)
+        cp = materialize(checkpoints(kept, self.attributes, self.days, base), "checkpoints")
+        out = self._rows(cp, patches(kept, cp, self.attributes, self.days))
+        if self.versions.exists():
+            old = self.versions.read(only=affected)
+            beside = old.join(small, "entity", "left").where(F.col("since").isNull() | (F.col("period").cast("long") < F.col("since"))).drop("since")
+            self.versions.replace_partitions(out.unionByName(beside).hint("rebalance", "period"), affected)
+        else:
+            self.versions.overwrite(out.hint("rebalance", "period"))
+        return sorted(map(int, affected))
+
+    def _rows(self, cp: DataFrame, deltas: DataFrame) -> DataFrame:
+        """Checkpoints (``patch`` is null) and patches as rows of one table."""
+        none = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in deltas.schema if f.name in ("at", "tie", "patch", "changes")}
+        state = F.struct(*self.attributes).alias("state")
+        full = cp.select("entity", F.col("period").cast("string").alias("period"), state, *none.values())
+        empty = F.lit(None).cast(full.schema["state"].dataType).alias("state")
+        return full.unionByName(deltas.select("entity", F.col("period").cast("string").alias("period"), empty, "at", "tie", "patch", "changes"))
+
+    def _read(self) -> tuple[DataFrame, DataFrame]:
+        rows = self.versions.read().withColumn("period", F.col("period").cast("long"))
+        return rows.where("patch is null").select("entity", "period", "state.*"), rows.where("patch is not null").drop("state")
+
+    def _standing(self, since: DataFrame | None = None, at: Column | None = None) -> DataFrame | None:
+        """(entity, each attribute): what stood, folded from the nearest checkpoint before.
+
+        Before the period ``since`` of the entities in it, or of all entities at a time.
+        """
+        if not self.versions.exists():
             return None
-        cp, deltas = self._read(self.checkpoints), self._read(self.patches)
-        if before is not None:
-            cp, deltas = cp.where(F.col("period") < before), deltas.where(F.col("period") < before)
+        cp, deltas = self._read()
+        if since is not None:
+            since = F.broadcast(since) if plan_size(since) <= SMALL_BYTES else since
+            cp, deltas = (x.join(since, "entity").where("period < since").drop("since") for x in (cp, deltas))
         if at is not None:
             day = F.floor(F.unix_micros(at.cast("timestamp")) / F.lit(self.days * 86_400_000_000))
             cp, deltas = cp.where(F.col("period") <= day), deltas.where((F.col("period") <= day) & (F.col("at") <= at))
@@ -147,7 +175,7 @@ class HistoryStore:
 
     def history(self) -> DataFrame:
         """Validity rows of all entities."""
-        return fold(self._read(self.checkpoints), self._read(self.patches), self.attributes)
+        return fold(*self._read(), self.attributes)
 
 
 def attribute_history(reports: DataFrame, attributes: Sequence[str], days: int = 7, path: str | None = None) -> DataFrame:
