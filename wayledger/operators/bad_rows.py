@@ -152,34 +152,44 @@ def bad_latitude(c: Column, message_type: Column) -> Column:
 
 
 def read_lines(lines: DataFrame, default_header: Sequence[str]) -> DataFrame:
-    """Each record line with its named fields or the reason why it can't be read.
+    """Each record line with its fields or the reason why it can't be read.
 
-    Columns: raw_id, source_file, line_number, raw_line, ``row`` (pairs of upper-case column
-    name and text; null for quoting and column_count), reason (null: valid). Line 1 is its file's header,
-    less a byte order mark; a file without a readable one is read by ``default_header``. Blank and
-    null lines are no records. Repeated rows each come out; an empty table gives no rows.
+    Columns: raw_id, source_file, line_number, raw_line, ``fields`` (null for quoting), ``header``
+    (upper-case names), ``places`` (where each column of ``default_header`` stands in it, from 1; 0
+    for nowhere), reason (null: valid). Line 1 is its file's header, less a byte order mark; a
+    file without a readable one is read by ``default_header``. Blank and null lines are no
+    records. Repeated rows each come out; an empty table gives no rows.
     """
     lines = lines.select("raw_id", "source_file", "line_number", "raw_line")
     bare = lines.withColumn("raw_line", F.regexp_replace("raw_line", "^﻿", ""))
     names = F.transform("fields", lambda x: F.upper(stripped(x)))
+    columns = [c.upper() for c in default_header]
     headers = _split(bare.where("line_number = 1")).where("not broken").groupBy(F.col("source_file").alias("h_file")).agg(F.min_by(names, "raw_id").alias("header"))
+    # names are looked up once a file; every row then has its places
+    places = lambda at: F.struct(*[at(c).cast("int").alias(c) for c in columns])
+    headers = headers.withColumn("places", places(lambda c: F.array_position("header", F.lit(c))))
+    default = F.array(*[F.lit(c) for c in columns])
     records = _split(lines.where("(line_number <> 1 or line_number is null)").where(stripped("raw_line") != ""))
-    default = F.array(*[F.lit(c.upper()) for c in default_header])
-    rows = records.join(headers, F.col("source_file") == F.col("h_file"), "left").withColumn("header", F.coalesce("header", default))
-    get = lambda name: F.get("fields", F.array_position("header", F.lit(name)).cast("int") - 1)
+    rows = records.join(headers, F.col("source_file") == F.col("h_file"), "left").withColumns({"header": F.coalesce("header", default), "places": F.coalesce("places", places(lambda c: F.lit(columns.index(c) + 1)))})
+    get = lambda name: _field(rows, name)
     reason = (
         F.when(F.col("broken"), QUOTING)
         .when(F.size("fields") != F.size("header"), COLUMN_COUNT)
         .when(bad_time(get("TM_STAMP")) | bad_time(get("DATA_SERVIDOR")) | bad_latitude(get("LAT"), get("MESS_TYPE")), INVALID_VALUE)
     )
-    cells = F.when(~F.col("broken") & (F.size("fields") == F.size("header")), F.arrays_zip(F.col("header").alias("k"), F.col("fields").alias("v")))
-    return rows.select("raw_id", "source_file", "line_number", "raw_line", cells.alias("row"), reason.alias("reason"))
+    return rows.select("raw_id", "source_file", "line_number", "raw_line", "fields", "header", "places", reason.alias("reason"))
+
+
+def _field(rows: DataFrame, name: str) -> Column:
+    """The text of a named column; null where the file lacks it."""
+    known = name in rows.schema["places"].dataType.names
+    at = F.col("places").getField(name) if known else F.array_position("header", F.lit(name)).cast("int")
+    return F.get("fields", at - 1)
 
 
 def valid_rows(read: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The valid lines as a table of the given columns, all text; those a file lacks are null."""
-    first = lambda c: F.get(F.filter("row", lambda x: x["k"] == F.lit(c.upper())), F.lit(0))["v"]
-    return read.where("reason is null").select("raw_id", "source_file", "line_number", *[first(c).alias(c.lower()) for c in columns])
+    return read.where("reason is null").select("raw_id", "source_file", "line_number", *[_field(read, c.upper()).alias(c.lower()) for c in columns])
 
 
 def failed_rows(lines: DataFrame, logs: DataFrame, rejected: DataFrame, default_header: Sequence[str]) -> DataFrame:

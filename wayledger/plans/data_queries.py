@@ -131,7 +131,40 @@ def _known(where: str) -> str:
     return f"""{_IMEI}select e.row_id, arg_max(v.a, (v.t, v.i, v.r)) as imei from telemetry_events e join v on v.device_serial = e.device_serial and v.t <= e.event_timestamp and v.i <= e.event_timestamp{where} group by e.row_id"""
 
 
+_BLANK = "'^[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]+|[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]+$', '', 'g'"
+
+
+def _bare(c: str) -> str:
+    return f"regexp_replace(coalesce({c}, ''), {_BLANK})"
+
+
+def _bad_time(c: str) -> str:
+    v = _bare(c)
+    return f"({v} <> '' and not (regexp_full_match({v}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[ T][0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}([.][0-9]{{1,6}})?') and {v} not like '0000%' and try_cast(replace({v}, 'T', ' ') as timestamp) is not null and substr({v}, 12, 2) < '24'))"
+
+
+def _bad_latitude(c: str, kind: str) -> str:
+    v = _bare(c)
+    return f"({v} <> '' and {_bare(kind)} <> 'T1' and not (regexp_full_match({v}, '[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)') and coalesce(abs(try_cast({v} as double)) <= 90, false)))"
+
+
+# A line is split by taking fields, each with the comma before it; what is left over is broken quoting.
+_ONE = ',(?:"(?:[^"]|"")*"|[^",][^,]*|)'
+_LINES = (
+    "with t as (select raw_id, source_file, line_number, ',' || regexp_replace(case when line_number = 1 then regexp_replace(raw_line, '^﻿', '') else raw_line end, '\\r$', '') x from tracker_raw_lines where raw_line is not null), "
+    f"s as (select *, not regexp_full_match(x, '({_ONE})+') broken, list_transform(regexp_extract_all(x, '{_ONE}'), lambda y: case when y[2] = '\"' then replace(y[3:-2], '\"\"', '\"') else y[2:] end) f from t), "
+    f"h as (select source_file, list_transform(f, lambda y: upper({_bare('y')})) h from s where line_number = 1), "
+    f"r as (select s.*, h, {', '.join(f'f[list_position(h, {chr(39)}{c.upper()}{chr(39)})] c{k}' for k, c in enumerate(SOURCE_COLUMNS))} from s join h using (source_file) where line_number <> 1 and {_bare('x[2:]')} <> ''), "
+)
+_AT = {c: f"c{k}" for k, c in enumerate(SOURCE_COLUMNS)}
+_READ = _LINES + f"j as (select *, case when broken then 'quoting' when len(f) <> len(h) then 'column_count' when {_bad_time(_AT['TM_STAMP'])} or {_bad_time(_AT['DATA_SERVIDOR'])} or {_bad_latitude(_AT['LAT'], _AT['MESS_TYPE'])} then 'invalid_value' end reason from r) "
+
 SQL = {
+    "p5_found": _READ
+    + f"""select 'tracker_raw_lines' origin, cast(raw_id as varchar) record_key, reason from j where reason is not null
+union all select 'tracker_logs', row_id, 'invalid_value' from tracker_logs where {_bad_time("tm_stamp")} or {_bad_time("data_servidor")}
+union all select 'rejected_logs', row_id, 'invalid_value' from rejected_logs where {_bad_latitude("latitude_raw", "message_type")}""",
+    "p5_valid": _READ + f"select raw_id, source_file, line_number, {', '.join(f'{at} as {chr(34)}{c.lower()}{chr(34)}' for c, at in _AT.items())} from j where reason is null",
     "p1_found": _HOURS + "select device_serial, strftime(h, '%Y-%m-%d %H:%M:%S') as hour_start from e where h is not null group by device_serial, h having count(*) filter (where i > h + interval 2 hour and i <= h + interval 73 hour) > 0",
     "p1_hours": _HOURS
     + "select device_serial, strftime(h, '%Y-%m-%d %H:%M:%S') as hour_start, count(*) filter (where i <= h + interval 2 hour) as published_count, count(*) filter (where i <= h + interval 73 hour) as corrected_count, count(*) filter (where i > h + interval 73 hour or i is null) as excluded_count from e where h is not null group by device_serial, h",
