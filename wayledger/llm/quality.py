@@ -6,8 +6,8 @@ letters); the states are prose, list, table and junk, and neighbouring lines ten
 kind. The best state sequence of each document (Viterbi) labels its lines, and the shares of the
 labels describe the document.
 
-Emissions and transitions are fitted here on a bounded sample of documents (``sample_docs``, a
-parameter, chosen by hash of the id): lines that plain rules can place are the labelled seed, and
+Emissions and transitions are fitted here on a bounded sample of documents (``sample_docs`` of at
+most ``sample_chars`` characters, parameters; those with the least hashes of id and text): lines that plain rules can place are the labelled seed, and
 documents whose seed lines agree are examples with all their lines, and a few rounds of
 labelling the sample and counting again (Viterbi training) settle the rest. Which
 words are known is counted over the whole corpus: those in at least ``common_share`` of its
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 STATES = ("prose", "list", "table", "junk")
@@ -36,9 +36,15 @@ BINS = {"words": 7, "figures": 4, "symbols": 4, "known": 5, "marker": 3, "gaps":
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Sample and rounds of the fit, and what makes a word common."""
+    """Sample and rounds of the fit, and what makes a word common.
+
+    A line of ``full_width`` characters is a full one, so that a run-on line doesn't make all
+    others of its document look short.
+    """
 
     sample_docs: int = 3000
+    sample_chars: int = 20_000
+    full_width: int = 200
     rounds: int = 3
     common_share: float = 0.004
     stay: float = 0.95
@@ -54,7 +60,7 @@ def _kinds() -> np.ndarray:
     global _KIND
     if _KIND is None:
         t = np.full(0x110000, _SYMBOL, np.uint8)
-        for c in range(0x30000):
+        for c in (*range(0x32400), *range(0xE0000, 0xE0200)):  # beyond them there are no letters or marks
             k = unicodedata.category(chr(c))
             if k[0] == "L" or k[0] == "M":
                 t[c] = _LETTER
@@ -182,12 +188,12 @@ def _bin(x: np.ndarray, *edges: float) -> np.ndarray:
     return np.searchsorted(np.array(edges), x, "right")
 
 
-def line_features(s: Lines, n_docs: int) -> np.ndarray:
+def line_features(s: Lines, n_docs: int, rules: QualityRules) -> np.ndarray:
     """Bins of each line's features, columns as in ``BINS``."""
     c = s.cols
     tokens, chars = np.maximum(1, c["tokens"]), np.maximum(1, c["chars"])
     widest = np.zeros(n_docs, np.int64)
-    np.maximum.at(widest, s.doc, np.minimum(c["width"], 200))
+    np.maximum.at(widest, s.doc, np.minimum(c["width"], rules.full_width))
     known = np.where(c["long_words"] == 0, 0, 1 + _bin(c["known"] / np.maximum(1, c["long_words"]), 0.15, 0.4, 0.7))
     marker = np.where(c["first_kind"] == _DIGIT, 1, np.where(np.isin(c["first_kind"], [_DASH, _SYMBOL]), 2, 0))
     return np.stack(
@@ -280,7 +286,7 @@ def fit_model(texts: list[str], common: set[str], rules: QualityRules) -> LineMo
     each round the model's own labels of the documents take the place of the seed's.
     """
     s = line_statistics(texts, common)
-    f = line_features(s, len(texts))
+    f = line_features(s, len(texts), rules)
     k, n = len(LABEL_OF), len(texts)
     label = seed = seed_labels(f, s)
     lines = np.bincount(s.doc, minlength=n)
@@ -311,36 +317,37 @@ def fit_model(texts: list[str], common: set[str], rules: QualityRules) -> LineMo
     return model
 
 
-def common_words(documents: DataFrame, share: float, n: int | None = None) -> DataFrame:
-    """(word): those in at least ``share`` of the documents with text, counted over all of them.
+def common_words(documents: DataFrame, share: float, n: int) -> DataFrame:
+    """(word): those in at least ``share`` of the n documents with text, counted over all of them.
 
     Distinct words of a document are counted once, pre-aggregated before the shuffle. There are
     at most (mean distinct words of a document) / share of them.
     """
     texts = documents.where(F.trim("text") != "").select(F.lower("text").alias("t"))
-    n = texts.count() if n is None else n
     words = texts.select(F.explode(F.array_distinct(F.split("t", r"[^\p{L}\p{M}]+"))).alias("word")).where(F.length("word") > 1)
     return words.groupBy("word").count().where(F.col("count") >= max(2, math.ceil(share * n))).select("word")
 
 
-def sample_texts(documents: DataFrame, most: int, n: int) -> list[str]:
-    """About ``most`` texts, chosen by a hash of id and text: only they travel to the driver.
+def sample_texts(documents: DataFrame, rules: QualityRules) -> tuple[list[str], int]:
+    """The sample and the number of documents with text, in one pass.
 
-    Many copies of one row can't swell the sample: it is cut at twice its size.
+    The sample is the ``sample_docs`` documents of least hash among those of at most
+    ``sample_chars`` characters: the same whatever the partitions, and bounded in bytes.
     """
-    bits = 1 << 30
-    share = min(bits, math.ceil(bits * most / max(1, n)))
-    chosen = documents.where(F.trim("text") != "").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(bits)) < share)
-    return sorted(r.text for r in chosen.select("text").limit(2 * most).collect())
+    seen = Observation()
+    texts = documents.where(F.trim("text") != "").observe(seen, F.count(F.lit(1)).alias("n"))
+    short = texts.where(F.length("text") <= rules.sample_chars)
+    chosen = short.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("h"), "text").orderBy("h", "text").limit(rules.sample_docs)
+    return sorted(r.text for r in chosen.collect()), seen.get["n"]
 
 
 _OUT = "doc_id long, n_lines long, n_words long, mean_word_length double, symbol_ratio double, end_punctuation_share double, common_word_share double, prose_share double, list_share double, table_share double, junk_share double"
 
 
-def _document_rows(ids: list, texts: list[str], model: LineModel, common: set[str]) -> pa.RecordBatch:
+def _document_rows(ids: list, texts: list[str], model: LineModel, common: set[str], rules: QualityRules) -> pa.RecordBatch:
     s = line_statistics(texts, common)
     n = len(texts)
-    label = LABEL_OF[model.label(line_features(s, n), s.doc)]
+    label = LABEL_OF[model.label(line_features(s, n, rules), s.doc)]
     per = lambda x: np.bincount(s.doc, x, minlength=n)
     c = s.cols
     lines, words, letters, chars = np.bincount(s.doc, minlength=n), per(c["words"]), per(c["letters"]), per(c["chars"])
@@ -353,7 +360,7 @@ def _document_rows(ids: list, texts: list[str], model: LineModel, common: set[st
 
 def _measure(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, common = shared.value
+        model, common, rules = shared.value
         for b in batches:
             lo = 0
             texts = [t or "" for t in b.column(1).to_pylist()]
@@ -363,7 +370,7 @@ def _measure(shared):
                 while hi < len(texts) and (hi == lo or size + len(texts[hi]) < 1_000_000):
                     size += len(texts[hi])
                     hi += 1
-                yield _document_rows(ids[lo:hi], texts[lo:hi], model, common)
+                yield _document_rows(ids[lo:hi], texts[lo:hi], model, common, rules)
                 lo = hi
 
     return run
@@ -379,10 +386,10 @@ def document_quality(documents: DataFrame, rules: QualityRules | None = None) ->
     """
     rules = rules or QualityRules()
     spark = documents.sparkSession
-    n = documents.where(F.trim("text") != "").count()
+    sample, n = sample_texts(documents, rules)
     common = {r.word for r in common_words(documents, rules.common_share, n).toLocalIterator()}
-    model = fit_model(sample_texts(documents, rules.sample_docs, n), common, rules)
-    shared = spark.sparkContext.broadcast((model, common))
+    model = fit_model(sample, common, rules)
+    shared = spark.sparkContext.broadcast((model, common, rules))
     return documents.select("doc_id", "text").mapInArrow(_measure(shared), _OUT)
 
 

@@ -38,7 +38,7 @@ def p10_quality(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_stats(spark: SparkSession, d: str) -> DataFrame:
     q = quality.document_quality(table(spark, d, "documents"))
-    return q.select("doc_id", "n_lines", "n_words", *[F.round(c, 6).alias(c) for c in ("mean_word_length", "end_punctuation_share", "common_word_share")])
+    return q.select("doc_id", "n_lines", "n_words", *[F.round(c, 6).alias(c) for c in ("mean_word_length", "symbol_ratio", "end_punctuation_share", "common_word_share")])
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_collapsed, p8_ids, p9_found, p10_found, p10_quality, p10_stats)}
@@ -55,8 +55,10 @@ SQL = {
 w as (select r, unnest(regexp_extract_all(lower(x), '[\\p{L}\\p{M}]+')) w from t),
 n as (select count(*) n from documents where text is not null and regexp_replace(text, '^ +| +$', '', 'g') <> ''),
 c as (select w from w where length(w) > 1 group by w having count(distinct r) >= greatest(2, ceil(0.004 * (select n from n)))),
+y as (select r, regexp_replace(x, '[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]', '', 'g') z from t),
+m as (select r, length(regexp_replace(z, '[\\p{L}\\p{M}\\p{Nd}.,;:!?''"()“”«»’‘|]', '', 'g')) * 1.0 / nullif(length(z), 0) symbol_ratio from y),
 a as (select r, count(*) n_words, avg(length(w)) mean_word_length, count(*) filter (where w in (select w from c)) * 1.0 / count(*) common_word_share from w group by r),
 l as (select r, unnest(string_split(x, chr(10))) y from t),
 b as (select r, count(*) n_lines, count(*) filter (where regexp_matches(y, '[.,;:!?''"()“”«»’‘][\\s\\p{Z}]*$')) * 1.0 / count(*) end_punctuation_share from l where regexp_matches(y, '[^\\s\\p{Z}\\x0b\\x1c-\\x1f]') group by r)
-select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_words, 0) as n_words, round(mean_word_length, 6) as mean_word_length, round(end_punctuation_share, 6) as end_punctuation_share, round(common_word_share, 6) as common_word_share from t left join a using (r) left join b using (r)""",
+select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_words, 0) as n_words, round(mean_word_length, 6) as mean_word_length, round(symbol_ratio, 6) as symbol_ratio, round(end_punctuation_share, 6) as end_punctuation_share, round(common_word_share, 6) as common_word_share from t left join a using (r) left join b using (r) left join m using (r)""",
 }
