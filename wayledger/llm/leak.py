@@ -253,7 +253,6 @@ class ItemIndex:
                 lo += len(k)
             least[n] = score.min()
         self.impact = impact / (rules.share * least[self.post_piece]) if len(impact) else impact
-        self.top = np.maximum.reduceat(self.impact, first) if len(first) else self.impact
         self._entries: dict[int, tuple] = {}
 
     def entry(self, t: int) -> tuple:
@@ -277,6 +276,20 @@ class ItemIndex:
             return []
         return [(int(x) // len(GAPS), int(x) % len(GAPS) + 1) for x in self.at[self.at_from[a + k] : self.at_from[a + k + 1]]]
 
+    def bounded(self, term: np.ndarray, slices: list[tuple[int, int]]) -> list[bool]:
+        """For each slice of the terms, whether in some block of four pieces they could pass 1 together.
+
+        The sum of all impacts in a block is no less than the score of any of its pieces. Terms with
+        many postings are left to the search itself, which skips.
+        """
+        size = self.post_from[term + 1] - self.post_from[term]
+        ends = np.append(0, np.cumsum(size))
+        if ends[-1] > 20_000:
+            return [True] * len(slices)
+        flat = np.arange(ends[-1]) + np.repeat(self.post_from[term] - ends[:-1], size)
+        block, impact = self.post_piece[flat] // 4, self.impact[flat]
+        return [b > a and bool(np.bincount(block[ends[a] : ends[b]], impact[ends[a] : ends[b]]).max() > 1.0 - 1e-9) for a, b in slices]
+
     def hits(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """(word, term) of the page's terms that the index has, in reading order."""
         h = np.fromiter(map(self.key_of.get, words, repeat(0)), np.uint64, len(words))
@@ -363,6 +376,9 @@ def edit_distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance, or ``most + 1`` as soon as it must be larger."""
     if abs(len(a) - len(b)) > most:
         return most + 1
+    x, y = set(a), set(b)  # a letter that the other lacks takes an edit
+    if len(x - y) > most or len(y - x) > most:
+        return most + 1
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         prev, row[0] = row[0], i
@@ -499,9 +515,9 @@ def page_items(words: list[str], index: ItemIndex, rules: LeakRules) -> list[int
     wanted: dict[int, list[int]] = {}
     starts = range(0, max(1, len(words) - rules.passage + rules.stride), rules.stride)
     from_, to = np.searchsorted(at, starts), np.searchsorted(at, [lo + rules.passage for lo in starts])
-    top = np.append(0.0, np.cumsum(index.top[term]))
-    for lo, a, b in zip(starts, from_.tolist(), to.tolist(), strict=True):
-        if top[b] - top[a] <= 1.0 - 1e-9:  # terms that come again only add
+    slices = list(zip(from_.tolist(), to.tolist(), strict=True))
+    for lo, (a, b), may in zip(starts, slices, index.bounded(term, slices), strict=True):
+        if not may:
             continue
         entries = [index.entry(t) for t in set(term[a:b].tolist())]
         if sum(e[5] for e in entries) > 1.0:
