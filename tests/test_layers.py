@@ -220,3 +220,11 @@ def test_random_increments_of_the_daily_summary(spark):
         built = built.where(~F.col("event_date").isin(days)).unionByName(gold.daily_summary(df.where(F.col("batch_id").isin(done)), days))
     assert rows(built) == rows(gold.daily_summary(df))
     assert set(RAW_NAMES) < set(SOURCE_COLUMNS)
+
+
+def test_the_typed_layer_is_one_scan_with_a_short_plan(spark, data):
+    """Bronze is read once, after a narrow scan for the identity reports, and no expression multiplies."""
+    from wayledger.plans import layer_queries
+
+    plan = layer_queries.cast_telemetry(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 30_000 and plan.count("Relation [") == 2 and "Union" not in plan

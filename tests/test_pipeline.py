@@ -17,8 +17,8 @@ from wayledger.plans.ingest import Bronze, control_event, row_id
 from wayledger.plans.modes import Gold, Silver, clean_ids
 from wayledger.plans.pipeline import format_result, run_pipeline
 from wayledger.plans.serve import QueryService, optional_date
-from wayledger.store import TableStore
 from wayledger.sources.csv_files import FileReport, detect_encoding, discover_csv_files, inspect_file, move_file, read_files
+from wayledger.store import TableStore
 
 BASE = {"TIPO_LOG": "tracker", "MESS_TYPE": "T2", "REPT_TYPE": "1", "PRT_VER": "1", "S/N ou IMEI": "M100", "BAT_VOLT": "12.5", "LOC_STATUS": "A", "LAT": "-3.7", "LONT": "-38.5", "SPEED": "45.5", "HDOP": "1.2", "ODO_TOTAL": "20000", "SER_COUNT": "15"}
 
@@ -146,6 +146,25 @@ def test_batches_left_by_a_crash_are_taken_along(spark, settings):
     assert {d["device_serial"] for d in QueryService(spark, settings).devices().items} == {"100", "7"}
 
 
+def test_a_uri_as_data_folder_and_rows_that_do_not_fit(spark, tmp_path):
+    """Listing, reading and moving by URI; with salvage a long record costs only itself."""
+    where = Settings(f"file://{tmp_path}", salvage=True)
+    write(tmp_path / "raw" / "inbox", "a.csv", [line("2024-01-01"), line("2024-01-02", SN="M7")])
+    with open(tmp_path / "raw" / "inbox" / "a.csv", "a") as f:
+        f.write(",".join("x" * 40) + "\n")
+    (tmp_path / "raw" / "inbox" / "b.csv").write_text("A,B\n1,2\n")
+    r = run_pipeline(spark, where)
+    assert (r.bronze.successful, r.bronze.failed, r.bronze.inserted_rows) == (("a.csv",), ("b.csv",), 2)
+    b = Bronze(spark, where)
+    bad = b.bad_rows.read().collect()
+    assert [(x.source_row_number, x.reason, len(x.fields)) for x in bad] == [(3, "column_count", 40)]
+    assert sorted(rows(b.table.read(), "source_row_number")) == [(1,), (2,)]
+    assert {p.name for p in (tmp_path / "raw" / "archive").iterdir()} == {"a.csv"} and {p.name for p in (tmp_path / "raw" / "quarantine").iterdir()} == {"b.csv"}
+    assert discover_csv_files(f"file://{tmp_path}/none", spark) == [] and discover_csv_files(where.inbox, spark) == []
+    (tmp_path / "raw" / "inbox" / "a.csv").write_text("A\n")
+    assert move_file(f"file://{tmp_path}/raw/inbox/a.csv", where.archive, "k", spark).endswith("/a__k.csv")
+
+
 class Crash(BaseException):
     """No handler of the code under test catches it."""
 

@@ -47,3 +47,14 @@ print("found", [r.error for r in inspect_files(s, ["{tmp_path}/x.csv"])][0] is n
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
     assert "found True" in got.stdout, got.stderr[-2000:]
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    from wayledger.session import materialize, scratch_scope
+
+    outer = materialize(spark.range(3), "outer")
+    with scratch_scope(spark):
+        inner = materialize(spark.range(4), "inner")
+        files = inner.inputFiles()
+        assert inner.count() == 4
+    assert outer.count() == 3 and not any(os.path.exists(f.removeprefix("file://")) for f in files)

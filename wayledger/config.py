@@ -14,29 +14,44 @@ def csv_variable(name: str) -> tuple[str, ...]:
 
 @dataclass(frozen=True)
 class Settings:
-    """Folders of raw files and of the layers."""
+    """Folders of raw files and of the layers: under a local folder, or a URI that Spark reads.
 
-    data_dir: Path
+    ``salvage``: records with more fields than the header don't fail their file; they go to a table
+    of their own with the reason, and the file's other rows are loaded.
+    """
+
+    data_dir: Path | str
     cors_origins: tuple[str, ...] = ()
+    salvage: bool = False
+
+    def _raw(self, name: str) -> Path | str:
+        return self.data_dir / "raw" / name if isinstance(self.data_dir, Path) else f"{self.data_dir.rstrip('/')}/raw/{name}"
+
+    @property
+    def inbox(self) -> Path | str:
+        return self._raw("inbox")
 
     @property
-    def inbox(self) -> Path:
-        return self.data_dir / "raw" / "inbox"
+    def archive(self) -> Path | str:
+        return self._raw("archive")
 
     @property
-    def archive(self) -> Path:
-        return self.data_dir / "raw" / "archive"
+    def quarantine(self) -> Path | str:
+        return self._raw("quarantine")
 
     @property
-    def quarantine(self) -> Path:
-        return self.data_dir / "raw" / "quarantine"
+    def root(self) -> str:
+        """The data folder as a URI."""
+        return f"file://{self.data_dir}" if isinstance(self.data_dir, Path) else self.data_dir.rstrip("/")
 
     def layer(self, name: str) -> str:
         """URI of a layer's folder: control, bronze, silver or gold."""
         folder = {"control": "00_control", "bronze": "01_bronze", "silver": "02_silver", "gold": "03_gold"}[name]
-        return f"file://{self.data_dir}/lakehouse/{folder}"
+        return f"{self.root}/lakehouse/{folder}"
 
 
 def load_settings() -> Settings:
-    """From WAYLEDGER_DATA_DIR and WAYLEDGER_CORS_ORIGINS."""
-    return Settings(Path(os.getenv("WAYLEDGER_DATA_DIR", "data")).resolve(), csv_variable("WAYLEDGER_CORS_ORIGINS"))
+    """From WAYLEDGER_DATA_DIR (a path or a URI), WAYLEDGER_CORS_ORIGINS and WAYLEDGER_SALVAGE."""
+    at = os.getenv("WAYLEDGER_DATA_DIR", "data")
+    salvage = os.getenv("WAYLEDGER_SALVAGE", "").strip().lower() in ("1", "true", "yes")
+    return Settings(at if "://" in at else Path(at).resolve(), csv_variable("WAYLEDGER_CORS_ORIGINS"), salvage)

@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {"s": T.StringType(), "i": T.IntegerType(), "l": T.LongType(), "d": T.DoubleType(), "b": T.BooleanType(), "n": T.TimestampNTZType(), "t": T.TimestampType(), "D": T.DateType()}
 
+_TYPES = {t.simpleString(): t for t in (T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.TimestampNTZType(), T.TimestampType(), T.DateType())}
 
-def _schema(spec: str) -> T.StructType:
-    """``name:type`` words; a word without type is text."""
-    fields = []
-    for word in spec.split():
-        name, _, kind = word.partition(":")
-        fields.append(T.StructField(name, _TYPES[kind or "s"]))
-    return T.StructType(fields)
+
+def _schema(ddl: str) -> T.StructType:
+    """A schema from plain DDL; read here, since Spark's own parser needs a session."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (c.split() for c in ddl.split(","))])
 
 
 # The source columns, in their order.
@@ -34,51 +31,72 @@ RAW_NAMES = {
 }
 
 LINEAGE_COLUMNS = ["source_file", "source_file_hash", "source_row_number", "row_id", "batch_id", "ingested_at", "ingestion_date"]
-_LINEAGE = "source_file source_file_hash source_row_number:l row_id batch_id ingested_at:t ingestion_date"
+_LINEAGE = "source_file string, source_file_hash string, source_row_number bigint, row_id string, batch_id string, ingested_at timestamp, ingestion_date string"
 
-# The tables' columns in order, with their types (see ``_schema``; no type means text).
+# The tables' columns in order, with their types.
 TELEMETRY = _schema(
-    "event_date server_timestamp:n device_timestamp:n event_timestamp:n log_type message_type report_type:i protocol_version device_serial device_resolution_method terminal_status battery_voltage:d location_status "
-    "latitude:d longitude:d speed:d direction_degrees:d internal_battery:d odometer_trip:d odometer_total:d horimeter:d hdop:d mcc mnc lac cell_id rx_level:d serial_count:l transmission_technology message_group io_status "
-    "driver_id passenger_id rpm:d tachograph_speed:d tachograph_odometer:d temperature_1:d temperature_2:d temperature_3:d temperature_4:d source_file source_file_hash source_row_number:l row_id batch_id ingested_at:t "
-    "ingestion_date:D has_valid_coordinates:b position_quality"
+    "event_date string, server_timestamp timestamp_ntz, device_timestamp timestamp_ntz, event_timestamp timestamp_ntz, log_type string, message_type string, "
+    "report_type int, protocol_version string, device_serial string, device_resolution_method string, terminal_status string, battery_voltage double, "
+    "location_status string, latitude double, longitude double, speed double, direction_degrees double, internal_battery double, odometer_trip double, "
+    "odometer_total double, horimeter double, hdop double, mcc string, mnc string, lac string, cell_id string, rx_level double, serial_count bigint, "
+    "transmission_technology string, message_group string, io_status string, driver_id string, passenger_id string, rpm double, tachograph_speed double, "
+    "tachograph_odometer double, temperature_1 double, temperature_2 double, temperature_3 double, temperature_4 double, source_file string, "
+    "source_file_hash string, source_row_number bigint, row_id string, batch_id string, ingested_at timestamp, ingestion_date date, "
+    "has_valid_coordinates boolean, position_quality string"
 )
 IDENTITY = _schema(
-    "event_date server_timestamp:n device_timestamp:n event_timestamp:n message_type report_type:i protocol_version device_serial_raw device_serial device_resolution_method iccid identity_auxiliary imsi imei "
-    "source_file source_file_hash source_row_number:l row_id batch_id ingested_at:t ingestion_date:D has_valid_iccid_format:b has_valid_imsi_format:b has_valid_imei_format:b"
+    "event_date string, server_timestamp timestamp_ntz, device_timestamp timestamp_ntz, event_timestamp timestamp_ntz, message_type string, report_type int, "
+    "protocol_version string, device_serial_raw string, device_serial string, device_resolution_method string, iccid string, identity_auxiliary string, "
+    "imsi string, imei string, source_file string, source_file_hash string, source_row_number bigint, row_id string, batch_id string, ingested_at timestamp, "
+    "ingestion_date date, has_valid_iccid_format boolean, has_valid_imsi_format boolean, has_valid_imei_format boolean"
 )
 REJECTED = T.StructType(
     [
-        *_schema("rejection_date server_timestamp:n device_timestamp:n"),
+        *_schema("rejection_date string, server_timestamp timestamp_ntz, device_timestamp timestamp_ntz"),
         *[T.StructField(c, T.StringType()) for c in RAW_NAMES.values()],
-        *_schema("device_serial device_resolution_method source_file source_file_hash source_row_number:l row_id batch_id ingested_at:t ingestion_date:D event_timestamp:n rejection_reason"),
+        *_schema(
+            "device_serial string, device_resolution_method string, source_file string, source_file_hash string, source_row_number bigint, row_id string, "
+            "batch_id string, ingested_at timestamp, ingestion_date date, event_timestamp timestamp_ntz, rejection_reason string"
+        ),
     ]
 )
 BRONZE = T.StructType([*[T.StructField(c, T.StringType()) for c in SOURCE_COLUMNS], *_schema(_LINEAGE)])
 DIM_DEVICE = _schema(
-    "device_serial current_imei current_imsi current_iccid current_identity_auxiliary current_protocol_version first_seen_at:n last_seen_at:n first_identity_at:n last_identity_at:n first_telemetry_at:n last_telemetry_at:n "
-    "identity_event_count:l telemetry_event_count:l has_identity_event:b has_telemetry_event:b current_imei_format_valid:b current_imsi_format_valid:b current_iccid_format_valid:b"
+    "device_serial string, current_imei string, current_imsi string, current_iccid string, current_identity_auxiliary string, "
+    "current_protocol_version string, first_seen_at timestamp_ntz, last_seen_at timestamp_ntz, first_identity_at timestamp_ntz, "
+    "last_identity_at timestamp_ntz, first_telemetry_at timestamp_ntz, last_telemetry_at timestamp_ntz, identity_event_count bigint, "
+    "telemetry_event_count bigint, has_identity_event boolean, has_telemetry_event boolean, current_imei_format_valid boolean, "
+    "current_imsi_format_valid boolean, current_iccid_format_valid boolean"
 )
 LAST_POSITION = _schema(
-    "device_serial last_position_date last_position_at:n received_at:n latitude:d longitude:d speed:d direction_degrees:d battery_voltage:d internal_battery:d odometer_total:d horimeter:d hdop:d rx_level:d message_type report_type:i "
-    "serial_count:l protocol_version position_quality source_file"
+    "device_serial string, last_position_date string, last_position_at timestamp_ntz, received_at timestamp_ntz, latitude double, longitude double, "
+    "speed double, direction_degrees double, battery_voltage double, internal_battery double, odometer_total double, horimeter double, hdop double, "
+    "rx_level double, message_type string, report_type int, serial_count bigint, protocol_version string, position_quality string, source_file string"
 )
 ROUTE_POINTS = _schema(
-    "event_date device_serial point_sequence:l event_timestamp:n received_at:n latitude:d longitude:d speed:d direction_degrees:d odometer_trip:d odometer_total:d horimeter:d hdop:d rx_level:d message_type report_type:i serial_count:l "
-    "protocol_version position_quality is_moving:b source_file"
+    "event_date string, device_serial string, point_sequence bigint, event_timestamp timestamp_ntz, received_at timestamp_ntz, latitude double, "
+    "longitude double, speed double, direction_degrees double, odometer_trip double, odometer_total double, horimeter double, hdop double, rx_level double, "
+    "message_type string, report_type int, serial_count bigint, protocol_version string, position_quality string, is_moving boolean, source_file string"
 )
 DAILY_SUMMARY = _schema(
-    "event_date device_serial first_event_at:n last_event_at:n message_count:l distinct_message_type_count:l valid_position_count:l invalid_position_count:l low_gps_precision_count:l valid_position_percentage:d moving_event_count:l "
-    "stopped_event_count:l average_speed:d average_speed_while_moving:d maximum_speed:d average_hdop:d minimum_hdop:d maximum_hdop:d minimum_battery_voltage:d maximum_battery_voltage:d average_battery_voltage:d "
-    "minimum_internal_battery:d maximum_internal_battery:d average_internal_battery:d first_odometer_total:d last_odometer_total:d odometer_delta_raw:d has_odometer_regression:b first_valid_position_at:n last_valid_position_at:n "
-    "first_latitude:d first_longitude:d last_latitude:d last_longitude:d"
+    "event_date string, device_serial string, first_event_at timestamp_ntz, last_event_at timestamp_ntz, message_count bigint, "
+    "distinct_message_type_count bigint, valid_position_count bigint, invalid_position_count bigint, low_gps_precision_count bigint, "
+    "valid_position_percentage double, moving_event_count bigint, stopped_event_count bigint, average_speed double, average_speed_while_moving double, "
+    "maximum_speed double, average_hdop double, minimum_hdop double, maximum_hdop double, minimum_battery_voltage double, maximum_battery_voltage double, "
+    "average_battery_voltage double, minimum_internal_battery double, maximum_internal_battery double, average_internal_battery double, "
+    "first_odometer_total double, last_odometer_total double, odometer_delta_raw double, has_odometer_regression boolean, "
+    "first_valid_position_at timestamp_ntz, last_valid_position_at timestamp_ntz, first_latitude double, first_longitude double, last_latitude double, "
+    "last_longitude double"
 )
 QUALITY_SUMMARY = _schema(
-    "metric_date telemetry_event_count:l identity_event_count:l accepted_event_count:l rejected_event_count:l total_event_count:l rejection_percentage:d missing_message_type_count:l invalid_message_type_count:l invalid_timestamp_count:l "
-    "missing_device_serial_count:l unknown_rejection_count:l"
+    "metric_date string, telemetry_event_count bigint, identity_event_count bigint, accepted_event_count bigint, rejected_event_count bigint, "
+    "total_event_count bigint, rejection_percentage double, missing_message_type_count bigint, invalid_message_type_count bigint, "
+    "invalid_timestamp_count bigint, missing_device_serial_count bigint, unknown_rejection_count bigint"
 )
 CONTROL = _schema(
-    "control_event_id batch_id source_file source_file_hash status stage started_at:t finished_at:t row_count:l inserted_row_count:l duplicate_row_count:l status_reason error_message recorded_at:t"
+    "control_event_id string, batch_id string, source_file string, source_file_hash string, status string, stage string, started_at timestamp, "
+    "finished_at timestamp, row_count bigint, inserted_row_count bigint, duplicate_row_count bigint, status_reason string, error_message string, "
+    "recorded_at timestamp"
 )
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from wayledger.config import Settings
 from wayledger.contracts import CONTROL, LINEAGE_COLUMNS
 from wayledger.functions.dialect import try_timestamp
-from wayledger.sources.csv_files import FileReport, discover_csv_files, inspect_files, move_file, read_files
+from wayledger.operators.bad_rows import COLUMN_COUNT
+from wayledger.sources.csv_files import FileReport, discover_csv_files, inspect_files, long_rows, move_file, read_files
 from wayledger.store import TableStore
 
 STATUSES = ("PROCESSING", "SUCCESS", "FAILED", "SKIPPED")
@@ -95,6 +96,7 @@ class Bronze:
     def __post_init__(self):
         self.table = TableStore(self.spark, f"{self.settings.layer('bronze')}/tracker_logs", "ingestion_date")
         self.days = TableStore(self.spark, f"{self.settings.layer('bronze')}/tracker_log_days", "ingestion_date")
+        self.bad_rows = TableStore(self.spark, f"{self.settings.layer('bronze')}/bad_rows", "ingestion_date")
         self.control = TableStore(self.spark, f"{self.settings.layer('control')}/ingestion_files")
 
     def log(self, events: Iterable[tuple]) -> None:
@@ -114,11 +116,11 @@ class Bronze:
         archived after the commit, so a crash before it leaves them in the inbox.
         """
         s = self.settings
-        files = discover_csv_files(s.inbox)
+        files = discover_csv_files(s.inbox, self.spark)
         if not files:
             return BronzeResult()
         started = datetime.now(UTC)
-        reports = inspect_files(self.spark, files)
+        reports = inspect_files(self.spark, files, s.salvage)
         batch = {r.path: new_batch_id() for r in reports}
         seen = self._known([r.sha256 for r in reports if r.sha256])
         events, good, skipped, failed = [], [], [], []
@@ -159,7 +161,7 @@ class Bronze:
         by_path = {str(f): f for f in files}
         for group, folder in ((good, s.archive), (skipped, s.archive), (failed, s.quarantine)):
             for r in group:
-                move_file(by_path[r.path], folder, batch[r.path])
+                move_file(by_path[r.path], folder, batch[r.path], self.spark)
         names = lambda g: tuple(r.name for r in g)
         inserted = sum(counts.values())
         return BronzeResult(len(files), names(good), names(skipped), names(failed), tuple(batch[r.path] for r in good if counts.get(batch[r.path])), inserted, sum(r.row_count for r in good) - inserted)
@@ -174,6 +176,13 @@ class Bronze:
         })
         return out.select(*[F.col(f"`{c}`") for c in rows.columns if c not in ("path", "source_row_number")], *LINEAGE_COLUMNS)
 
+    def _set_aside(self, good: list[FileReport], batch: dict[str, str], at: datetime) -> DataFrame:
+        """The records that don't fit their header, with the reason, keyed as the loaded rows are."""
+        info = self.spark.createDataFrame([(r.path, r.name, r.sha256, batch[r.path]) for r in good], "path string, source_file string, source_file_hash string, batch_id string")
+        rows = long_rows(self.spark, good).join(info, "path")
+        row_key = F.sha2(F.concat_ws(":", "source_file_hash", "source_row_number"), 256).alias("row_id")
+        return rows.select("source_file", "source_file_hash", "source_row_number", row_key, "batch_id", "fields", F.lit(COLUMN_COUNT).alias("reason"), F.lit(utc(at).date().isoformat()).alias("ingestion_date"))
+
     def _append(self, good: list[FileReport], batch: dict[str, str], at: datetime) -> dict[str, int]:
         """Insert-only by row id; gives the rows inserted by batch.
 
@@ -189,6 +198,9 @@ class Bronze:
         day = F.date_format(F.coalesce(try_timestamp(F.col("TM_STAMP")), try_timestamp(F.col("DATA_SERVIDOR"))), "yyyy-MM-dd")
         # the index first: one that names rows which a crash kept out of the table does no harm
         self.days.append(fresh.select("ingestion_date", "batch_id", F.coalesce(day, F.lit("unknown")).alias("event_day")).distinct().coalesce(1))
+        if any(r.bad_rows for r in good):
+            aside = self._set_aside(good, batch, at)
+            self.bad_rows.append(insert_only(self.bad_rows.read(), aside) if self.bad_rows.exists() else aside)
         counts = {r.batch_id: r["count"] for r in fresh.groupBy("batch_id").count().collect()}
         self.table.publish(staged)
         return counts

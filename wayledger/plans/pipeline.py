@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from wayledger.config import Settings
 from wayledger.plans.ingest import Bronze, BronzeResult
 from wayledger.plans.modes import NOOP, Gold, GoldResult, Silver, SilverResult
+from wayledger.session import scratch_scope
 
 
 @dataclass(frozen=True)
@@ -29,8 +30,14 @@ class PipelineResult:
 def run_pipeline(spark: SparkSession, settings: Settings, full: bool = False, compat: bool = False) -> PipelineResult:
     """Load the inbox, then the typed layer, then the products.
 
-    Batches that an earlier run left in bronze only are taken along.
+    Batches that an earlier run left in bronze only are taken along, and so are changes of the
+    typed tables that it didn't bring into the products.
     """
+    with scratch_scope(spark):
+        return _run(spark, settings, full, compat)
+
+
+def _run(spark: SparkSession, settings: Settings, full: bool, compat: bool) -> PipelineResult:
     bronze, s, g = Bronze(spark, settings), Silver(spark, settings), Gold(spark, settings)
     loaded = bronze.load()
     if not bronze.table.exists():

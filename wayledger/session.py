@@ -12,6 +12,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,11 +60,17 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; ``spark.checkpoint.dir`` if the session has it."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, or the context's checkpoint
+    folder. Without either a local session gets a folder of its own; a cluster must name one."""
     global _own_dir
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        set_later = spark._jsc.sc().getCheckpointDir()
+        named = set_later.get() if set_later.isDefined() else None
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="wayledger-")
         atexit.register(shutil.rmtree, _own_dir, True)
@@ -76,16 +84,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Delete the intermediate tables of this process, once the results read from them are no
-    longer needed. Gives how many there were."""
-    n = len(_scratch)
-    while _scratch:
+def clear_scratch(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the intermediate tables of this process but for its first ``keep``, once the results
+    read from them are no longer needed. Gives how many there were."""
+    n = len(_scratch) - keep
+    while len(_scratch) > keep:
         p = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
     return n
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end, whose results must be written by then."""
+    before = len(_scratch)
+    try:
+        yield
+    finally:
+        clear_scratch(spark, before)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
