@@ -89,3 +89,15 @@ def test_viterbi_by_brute_force():
         assert got[at : at + n].tolist() == list(best)
         at += n
     assert model.label(f[:0], doc[:0]).tolist() == []
+
+
+def test_the_sample_is_the_least_hashes_whatever_the_partitions(spark):
+    rows_in = [(i, "" if i % 3 else f"text number {i}" + (" long" * 50 if i % 5 == 0 else "")) for i in range(900)]
+    docs = spark.createDataFrame(rows_in, "doc_id long, text string")
+    docs = docs.unionByName(docs.where("doc_id = 6"))  # a repeated row counts once
+    rules = q.QualityRules(sample_docs=40, sample_chars=100)
+    got = [q.sample_texts(docs.repartition(n), rules) for n in (1, 7)]
+    assert got[0] == got[1] and len(got[0][0]) == 40 and got[0][1] == 301
+    every = q.sample_texts(docs, q.QualityRules(sample_docs=10_000, sample_chars=100))[0]
+    assert len(every) == 240 and max(map(len, every)) <= 100 and set(got[0][0]) <= set(every)
+    assert q.sample_texts(docs.where("false"), rules) == ([], 0)

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -329,16 +330,31 @@ def common_words(documents: DataFrame, share: float, n: int) -> DataFrame:
 
 
 def sample_texts(documents: DataFrame, rules: QualityRules) -> tuple[list[str], int]:
-    """The sample and the number of documents with text, in one pass.
+    """The sample and the number of documents with text.
 
-    The sample is the ``sample_docs`` documents of least hash among those of at most
-    ``sample_chars`` characters: the same whatever the partitions, and bounded in bytes.
+    The sample is the ``sample_docs`` distinct documents of least hash among those of at most
+    ``sample_chars`` characters: the same whatever the partitions. Only documents whose hash is below
+    a bound leave their task, about half as many again as are wanted, so that what travels doesn't
+    grow with the corpus; where many are blank or long the bound is raised.
     """
-    seen = Observation()
-    texts = documents.where(F.trim("text") != "").observe(seen, F.count(F.lit(1)).alias("n"))
-    short = texts.where(F.length("text") <= rules.sample_chars)
-    chosen = short.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("h"), "text").orderBy("h", "text").limit(rules.sample_docs)
-    return sorted(r.text for r in chosen.collect()), seen.get["n"]
+    bits = 1 << 30
+    share = min(1.0, 1.5 * rules.sample_docs / max(1, documents.count()))
+    while True:
+        seen = Observation()
+        texts = documents.where(F.trim("text") != "").observe(seen, F.count(F.lit(1)).alias("n"))
+        near = texts.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(bits)).alias("h"), "text").where((F.col("h") < math.ceil(share * bits)) & (F.length("text") <= rules.sample_chars))
+        chosen = near.distinct().orderBy("h", "text").limit(rules.sample_docs).collect()
+        if len(chosen) == rules.sample_docs or share == 1.0:
+            return sorted(r.text for r in chosen), _observed(seen, texts)
+        share = min(1.0, 4 * share)
+
+
+def _observed(seen: Observation, texts: DataFrame) -> int:
+    """The number seen; where the plan was known to be empty before it ran, nothing was observed."""
+    try:
+        return seen.get["n"]
+    except Py4JJavaError:
+        return texts.count()
 
 
 _OUT = "doc_id long, n_lines long, n_words long, mean_word_length double, symbol_ratio double, end_punctuation_share double, common_word_share double, prose_share double, list_share double, table_share double, junk_share double"
