@@ -57,13 +57,25 @@ def affected_devices(dates: Sequence[str] | DataFrame, *tables: DataFrame) -> Da
     return out.distinct()
 
 
+def key_violations(df: DataFrame, key: str) -> DataFrame:
+    """(key, n): values that keep a column from being a key, null or repeated."""
+    return df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n")).where("key is null or n > 1")
+
+
 def check_key(df: DataFrame, key: str) -> None:
     """Keys of an entity table are known and unique."""
-    n, known, distinct = df.agg(F.count(F.lit(1)), F.count(key), F.count_distinct(key)).first()
-    if known < n:
-        raise ValueError(f"{key} is null in {n - known} rows")
-    if distinct < known:
-        raise ValueError(f"{key} is not unique")
+    if bad := key_violations(df, key).limit(1).collect():
+        raise ValueError(f"{key} is null in {bad[0].n} rows" if bad[0].key is None else f"{key} is not unique")
+
+
+def pending_batches(known: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(batch_id): batches that the ledger doesn't have."""
+    return known.select("batch_id").distinct().join(ledger.select("batch_id"), "batch_id", "left_anti")
+
+
+def replace_entities(old: DataFrame, touched: DataFrame, fresh: DataFrame) -> DataFrame:
+    """An entity table in which the touched devices have their fresh rows, or none."""
+    return old.join(touched.select("device_serial"), "device_serial", "left_anti").unionByName(fresh)
 
 
 @dataclass(frozen=True)
@@ -108,10 +120,9 @@ class Silver:
         """Batches in bronze that the tables don't hold, as after a crash between the layers."""
         if not bronze.days.exists():
             return []
-        known = bronze.days.read().select("batch_id").distinct()
-        if self.ledger.exists():
-            known = known.join(self.ledger.read(), "batch_id", "left_anti")
-        return [r.batch_id for r in known.collect()]
+        known = bronze.days.read()
+        left = pending_batches(known, self.ledger.read()) if self.ledger.exists() else known.select("batch_id").distinct()
+        return [r.batch_id for r in left.collect()]
 
     def load(self, bronze: Bronze, batch_ids: Sequence[str] | None = None, compat: bool = False) -> SilverResult:
         """None rebuilds all; no ids is a no-op; else the days that the batches touch.
@@ -284,9 +295,8 @@ class Gold:
                 store, contract = getattr(self, k), DIM_DEVICE if k == "dim_device" else LAST_POSITION
                 fresh = materialize(fresh, "entities")
                 check_key(fresh, "device_serial")
-                kept = store.read().join(devices, "device_serial", "left_anti")
                 rows[store.path.rsplit("/", 1)[1]] = fresh.count()
-                store.overwrite(align(kept, contract).unionByName(fresh))
+                store.overwrite(replace_entities(align(store.read(), contract), devices, fresh))
             self.route_points.replace_partitions(align(gold.route_points(base, dates, deduped=True), ROUTE_POINTS), dates)
             self.daily_summary.replace_partitions(align(gold.daily_summary(base, dates, deduped=True), DAILY_SUMMARY), dates)
         q = gold.quality_summary(*(store.read(only=metric, snap=now[k]) for k, (store, _) in s.tables().items()), metric)

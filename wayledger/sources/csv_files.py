@@ -56,6 +56,21 @@ def open_bytes(path: str | Path):
     return source.open_input_stream(at)
 
 
+def write_bytes(path: str, data: bytes) -> None:
+    """A file of a path or URI, written whole."""
+    if "://" in path and not path.startswith("file:"):
+        from pyarrow import fs
+
+        target, at = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        target.create_dir(at.rsplit("/", 1)[0], recursive=True)
+        with target.open_output_stream(at) as f:
+            f.write(data)
+        return
+    local = Path("/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path)
+    local.parent.mkdir(parents=True, exist_ok=True)
+    local.write_bytes(data)
+
+
 def open_text(path: str | Path, encoding: str) -> io.TextIOBase:
     return io.TextIOWrapper(open_bytes(path), encoding=encoding, newline="")
 
