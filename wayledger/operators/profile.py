@@ -115,8 +115,8 @@ def drift_bins(counts: DataFrame, edges: DataFrame | None = None, widths: Mappin
     return rows.select("load", "column_name", bin_.alias("value"), "n").groupBy("load", "column_name", "value").agg(F.sum("n").alias("n"))
 
 
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None, load: str = "batch_id", rules: ProfileRules | None = None) -> DataFrame:
-    """One row per load and column.
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None, load: str = "batch_id", rules: ProfileRules | None = None, drift: bool = True) -> DataFrame:
+    """One row per load and column; without ``drift`` the loads aren't compared.
 
     n_rows, n_null, null_rate, n_distinct, min/max (as text), min/max/mean as number, top value
     and its share, n_bad (range or pattern violations), psi and chi_square against all loads, of
@@ -140,13 +140,17 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, load: st
         F.max(F.when(known, F.struct("n", "value"))).alias("top"),
         F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("n_bad"),
     )
-    deciles = exact_quantiles(counts, ["column_name"], [i / 10 for i in range(1, 10)])
-    drift = compare_loads(drift_bins(counts, deciles))
     share = F.col("n_null") / F.col("n_rows")
-    return base.join(drift, (base.column_name == drift.d_column) & base["load"].eqNullSafe(drift.d_load), "left").select(
+    cols = [
         F.col("load").alias("batch_id"), "column_name", "n_rows", "n_null", share.alias("null_rate"), "n_distinct", "min_text", "max_text", "min_number", "max_number", "mean_number",
-        F.col("top.value").alias("top_value"), (F.col("top.n") / (F.col("n_rows") - F.col("n_null"))).alias("top_share"), "n_bad", F.coalesce("psi", F.lit(0.0)).alias("psi"), F.coalesce("chi_square", F.lit(0.0)).alias("chi_square"),
-    )
+        F.col("top.value").alias("top_value"), (F.col("top.n") / (F.col("n_rows") - F.col("n_null"))).alias("top_share"), "n_bad",
+    ]
+    if not drift:
+        return base.select(*cols)
+    deciles = exact_quantiles(counts, ["column_name"], [i / 10 for i in range(1, 10)])
+    shift = compare_loads(drift_bins(counts, deciles))
+    joined = base.join(shift, (base.column_name == shift.d_column) & base["load"].eqNullSafe(shift.d_load), "left")
+    return joined.select(*cols, F.coalesce("psi", F.lit(0.0)).alias("psi"), F.coalesce("chi_square", F.lit(0.0)).alias("chi_square"))
 
 
 def compare_loads(counts: DataFrame) -> DataFrame:
