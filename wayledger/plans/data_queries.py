@@ -154,10 +154,10 @@ LINES = (
     "with t as (select raw_id, source_file, line_number, ',' || regexp_replace(case when line_number = 1 then regexp_replace(raw_line, '^﻿', '') else raw_line end, '\\r$', '') x from tracker_raw_lines where raw_line is not null), "
     f"s as (select *, not regexp_full_match(x, '({_ONE})+') broken, list_transform(regexp_extract_all(x, '{_ONE}'), lambda y: case when y[2] = '\"' then replace(y[3:-2], '\"\"', '\"') else y[2:] end) f from t), "
     f"h as (select source_file, list_transform(f, lambda y: upper({_bare('y')})) h from s where line_number = 1), "
-    f"r as (select s.*, h, {', '.join(f'f[list_position(h, {chr(39)}{c.upper()}{chr(39)})] c{k}' for k, c in enumerate(SOURCE_COLUMNS))} from s join h using (source_file) where line_number <> 1 and {_bare('x[2:]')} <> ''), "
+    f"rec as (select s.*, h, {', '.join(f'f[list_position(h, {chr(39)}{c.upper()}{chr(39)})] c{k}' for k, c in enumerate(SOURCE_COLUMNS))} from s join h using (source_file) where line_number <> 1 and {_bare('x[2:]')} <> ''), "
 )
 _AT = {c: f"c{k}" for k, c in enumerate(SOURCE_COLUMNS)}
-_READ = LINES + f"j as (select *, case when broken then 'quoting' when len(f) <> len(h) then 'column_count' when {_bad_time(_AT['TM_STAMP'])} or {_bad_time(_AT['DATA_SERVIDOR'])} or {_bad_latitude(_AT['LAT'], _AT['MESS_TYPE'])} then 'invalid_value' end reason from r) "
+_READ = LINES + f"j as (select *, case when broken then 'quoting' when len(f) <> len(h) then 'column_count' when {_bad_time(_AT['TM_STAMP'])} or {_bad_time(_AT['DATA_SERVIDOR'])} or {_bad_latitude(_AT['LAT'], _AT['MESS_TYPE'])} then 'invalid_value' end reason from rec) "
 
 SQL = {
     "p5_found": _READ

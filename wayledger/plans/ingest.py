@@ -107,7 +107,11 @@ class Bronze:
     def _known(self, hashes: list[str]) -> set[str]:
         if not self.control.exists():
             return set()
-        return {r.source_file_hash for r in successful_hashes(self.control.read().where(F.col("source_file_hash").isin(hashes))).collect()}
+        return {r.source_file_hash for r in self._of_files(successful_hashes(self.control.read()), hashes).collect()}
+
+    def _of_files(self, df: DataFrame, hashes: list[str]) -> DataFrame:
+        """The rows of the given file hashes."""
+        return df.join(self.spark.createDataFrame([(h,) for h in hashes], "source_file_hash string"), "source_file_hash", "left_semi")
 
     def load(self) -> BronzeResult:
         """Take in the inbox: skip files loaded before, quarantine bad ones, append the rest.
@@ -191,7 +195,7 @@ class Bronze:
         """
         new = self.with_lineage(good, batch, at)
         if self.table.exists():
-            old = self.table.read().where(F.col("source_file_hash").isin([r.sha256 for r in good]))
+            old = self._of_files(self.table.read(), [r.sha256 for r in good])
             new = insert_only(old, new)
         staged = self.table.stage(new)
         fresh = self.table.staged_rows(staged)

@@ -12,7 +12,8 @@ from wayledger.operators import bad_rows
 from wayledger.plans import ingest, modes, serve
 from wayledger.plans import layer_queries as lq
 from wayledger.plans.data_queries import BLANK, LINES
-from wayledger.plans.layer_queries import DIM, IDB, TEL
+from wayledger.plans.layer_queries import DIM, IDB, QUALITY, TEL
+from wayledger.plans.pipeline import run_pipeline
 from wayledger.plans.scope_queries import affected_partitions
 from wayledger.session import scratch_path, table
 from wayledger.sources.csv_files import write_bytes
@@ -85,24 +86,51 @@ def _writer(folder: str):
     return write
 
 
-def inbox_load(spark: SparkSession, d: str) -> DataFrame:
-    """The raw lines put as files into an inbox and loaded to bronze; lines whose quoting is broken,
-    which would swallow those after them, stay out, and records that are too long are set aside."""
+def _readable(spark: SparkSession, d: str) -> DataFrame:
+    """The raw lines but blank ones and those whose quoting is broken, which would swallow the next."""
     lines = table(spark, d, "tracker_raw_lines").where(bad_rows.stripped("raw_line") != "")
     broken = bad_rows.read_lines(lines, SOURCE_COLUMNS).where(F.col("reason") == bad_rows.QUOTING).select("raw_id")
-    home = scratch_path(spark, "inbox")
-    files = lines.join(broken, "raw_id", "left_anti").groupBy("source_file").applyInPandas(_writer(f"{home}/raw/inbox"), "source_file string")
+    return lines.join(broken, "raw_id", "left_anti")
+
+
+def _to_inbox(lines: DataFrame, home: str) -> None:
+    files = lines.groupBy("source_file").applyInPandas(_writer(f"{home}/raw/inbox"), "source_file string")
     files.write.format("noop").mode("overwrite").save()
+
+
+def inbox_load(spark: SparkSession, d: str) -> DataFrame:
+    """The raw lines put as files into an inbox and loaded to bronze; records that are too long are
+    set aside."""
+    home = scratch_path(spark, "inbox")
+    _to_inbox(_readable(spark, d), home)
     bronze = ingest.Bronze(spark, Settings(home, salvage=True))
     bronze.load()
     return bronze.table.read().select("source_file", "source_row_number", *[F.col(f"`{c}`").alias(c.lower()) for c in SOURCE_COLUMNS])
 
 
-QUERIES = {f.__name__: f for f in (schema_widening, partition_replace, control_append, key_violations, find_device, replace_entities, pending_batches, inbox_load)}
+def pipeline_quality(spark: SparkSession, d: str) -> DataFrame:
+    """The same files through the whole pipeline in two runs, a full build and an increment; the
+    quality summary must be that of all rows at once."""
+    home = scratch_path(spark, "pipeline")
+    lines, settings = _readable(spark, d), Settings(home, salvage=True)
+    for turn in (0, 1):
+        _to_inbox(lines.where(F.pmod(F.xxhash64("source_file"), F.lit(2)) == turn), home)
+        run_pipeline(spark, settings)
+    return modes.Gold(spark, settings).quality_summary.read()
+
+
+QUERIES = {f.__name__: f for f in (schema_widening, partition_replace, control_append, key_violations, find_device, replace_entities, pending_batches, inbox_load, pipeline_quality)}
 
 _LATE_DAYS = """d0 as (select batch_id, ingestion_date, coalesce(strftime(coalesce(try_cast(tm_stamp as timestamp), try_cast(data_servidor as timestamp)), '%Y-%m-%d'), 'unknown') event_day from tracker_logs),
 days as (select distinct event_day from d0 where batch_id in (select batch_id from tracker_logs where ingestion_date = (select max(ingestion_date) from tracker_logs)))"""
 
+# What the inbox's files hold: records that are no longer than their header, short ones filled up.
+_FIELDS = ", ".join(f"""case when list_position(h, '{c.upper()}') > len(f) then '' else c{n} end as "{c.lower()}\"""" for n, c in enumerate(SOURCE_COLUMNS))
+_LOADED = (
+    LINES + "k as (select *, row_number() over (partition by source_file order by line_number) source_row_number from rec where not broken), "
+    f"loaded as (select regexp_extract(source_file, '[^/]*$') as source_file, source_row_number, {_FIELDS} from k where len(f) <= len(h)), "
+)
+
 SQL = {
     "schema_widening": "select event_date, row_id, imei, case when has_valid_imsi_format then imsi end as imsi from device_identity_events",
     "partition_replace": "select rejection_date, row_id, rejection_reason from rejected_logs where rejection_date <> 'unknown' and (rejection_reason = 'MISSING_MESSAGE_TYPE' or rejection_date not in (select rejection_date from rejected_logs where rejection_reason = 'MISSING_MESSAGE_TYPE'))",
@@ -113,6 +141,10 @@ SQL = {
 kept as (select * from telemetry_events where device_serial is not null and (device_serial not in (select device_serial from touched where device_serial is not null) or event_date not in (select event_day from days)))
 select device_serial, max(event_timestamp) as last_at, count(*) as n from kept group by 1""",
     "pending_batches": "select distinct batch_id from tracker_logs where batch_id not in (select batch_id from rejected_logs where batch_id is not null)",
-    "inbox_load": LINES
-    + f"k as (select *, row_number() over (partition by source_file order by line_number) source_row_number from r where not broken) select regexp_extract(source_file, '[^/]*$') as source_file, source_row_number, {', '.join(f'''case when list_position(h, '{c.upper()}') > len(f) then '' else c{n} end as {chr(34)}{c.lower()}{chr(34)}''' for n, c in enumerate(SOURCE_COLUMNS))} from k where len(f) <= len(h)",
+    "inbox_load": _LOADED.removesuffix(", ") + " select * from loaded",
+    "pipeline_quality": _LOADED
+    + f"""tracker_logs as (select *, '' source_file_hash, source_file || source_row_number row_id, '' batch_id, '2020-01-01' ingestion_date from loaded), {lq.WITH_C.removeprefix('with ')},
+telemetry_events as (select strftime(event_timestamp, '%Y-%m-%d') event_date from c where rejection_reason is null and message_type <> 'T1'),
+device_identity_events as (select strftime(event_timestamp, '%Y-%m-%d') event_date from c where rejection_reason is null and message_type = 'T1'),
+rejected_logs as (select coalesce(strftime(event_timestamp, '%Y-%m-%d'), 'unknown') rejection_date, rejection_reason from c where rejection_reason is not null), {QUALITY} select * from q1""",
 }
