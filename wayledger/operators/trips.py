@@ -330,9 +330,17 @@ def stops_and_trips(telemetry: DataFrame, radius_m: float = 100.0, min_stop_minu
     0/0) are ignored; copies count once (see ``device_track``). Empty input gives no rows. Extra
     columns are ignored.
     """
-    w = Window.partitionBy("device_serial").orderBy("part", "seq", "start")
-    along = dwell_runs(telemetry, radius_m, min_stop_minutes).withColumn("odo", F.sum("way").over(w)).where(F.col("kind") == STOP)
-    prev = along.withColumn("p_end", F.lag("end").over(w)).withColumn("p_odo", F.lag("odo").over(w))
+    # within the parts of a device first, then over its parts: no task orders all stops of a device
+    w = Window.partitionBy("device_serial", "part").orderBy("seq", "start")
+    rows = materialize(dwell_runs(telemetry, radius_m, min_stop_minutes).withColumn("odo", F.sum("way").over(w)), "ways")
+    is_stop = F.col("kind") == STOP
+    last = F.max_by(F.struct("end", "odo"), F.when(is_stop, F.struct("seq", "start")))
+    earlier = Window.partitionBy("device_serial").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("device_serial", "part").agg(F.sum("way").alias("total"), last.alias("last"))
+    parts = parts.withColumn("carry", F.coalesce(F.sum("total").over(earlier), F.lit(0.0))).withColumn("last", F.when(F.col("last").isNotNull(), F.struct("last.end", (F.col("last.odo") + F.col("carry")).alias("odo"))))
+    parts = parts.select("device_serial", "part", "carry", F.last("last", ignorenulls=True).over(earlier).alias("before"))
+    stops_ = rows.where(is_stop).join(parts, ["device_serial", "part"]).withColumn("odo", F.col("odo") + F.col("carry"))
+    prev = stops_.withColumn("p_end", F.coalesce(F.lag("end").over(w), F.col("before.end"))).withColumn("p_odo", F.coalesce(F.lag("odo").over(w), F.col("before.odo")))
     row = lambda kind, a, b, dist, lat, lon, n: F.struct(F.lit(kind).alias("kind"), from_micros(a).alias("start_at"), from_micros(b).alias("end_at"), ((F.col(b) - F.col(a)) / 1e6).alias("duration_s"), dist.alias("distance_m"), lat.alias("latitude"), lon.alias("longitude"), n.alias("n_records"))
     none = F.lit(None)
     stop = row("stop", "start", "end", none.cast("double"), F.col("lat"), F.col("lon"), F.col("n"))
