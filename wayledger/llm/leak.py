@@ -23,7 +23,6 @@ import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -393,7 +392,6 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
-@lru_cache(1 << 16)
 def alike(a: str, b: str) -> bool:
     """One misread in short words, up to a third of the letters in longer ones."""
     if a == b:
